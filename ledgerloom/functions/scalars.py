@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 MICROS_PER_DAY = 86_400_000_000
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: StructType) -> DataFrame:
+    """A small constant relation built from literals, without a Python or file source."""
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def moment(text: str) -> Column:
     """A zone-free timestamp literal."""
     return F.lit(text).cast("timestamp_ntz")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
-from ledgerloom.functions.scalars import moment
+from ledgerloom.functions.scalars import literal_rows, moment
 from ledgerloom.schemas import ALERT_CONFIG, ALERT_HISTORY
 
 # Id, name, type, threshold, comparison, table, column, minutes, channel, active.
@@ -22,9 +23,7 @@ BACKLOG = 1000
 
 
 def alert_config(spark: SparkSession, as_of: str) -> DataFrame:
-    rows = spark.createDataFrame(
-        ALERT_ROWS, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ALERT_CONFIG.fields[:-1])
-    )
+    rows = literal_rows(spark, ALERT_ROWS, StructType(ALERT_CONFIG.fields[:-1]))
     return rows.withColumn("created_date", moment(as_of))
 
 

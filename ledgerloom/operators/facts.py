@@ -9,9 +9,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerloom.functions.scalars import json_value, json_value_or_null
 from ledgerloom.sources.bindings import Retail
 
+def price() -> Column:
+    """Line price as an exact decimal. Sources that store doubles are converted here, after the joins
+    have dropped the rows that are not needed."""
+    return F.col("price_at_purchase").cast("decimal(18,2)")
+
+
 def line_total() -> Column:
-    total = F.col("quantity") * F.col("price_at_purchase")
-    return total.cast("decimal(18,2)").alias("total_sale")
+    return (F.col("quantity") * price()).cast("decimal(18,2)").alias("total_sale")
 
 
 def sales_fact(r: Retail) -> DataFrame:
@@ -20,7 +25,7 @@ def sales_fact(r: Retail) -> DataFrame:
     Orders meet customers first, so the item table, by far the largest, is shuffled once (by order).
     """
     buyers = (
-        r.orders.filter(F.col("order_status") != "cancelled")
+        r.active_orders()
         .select("order_id", "order_date", "sales_channel", "customer_id")
         .join(r.customers.select("customer_id", "first_name", "last_name"), "customer_id")
     )
@@ -39,7 +44,7 @@ def sales_fact(r: Retail) -> DataFrame:
         "theme",
         "finish",
         "quantity",
-        "price_at_purchase",
+        price().alias("price_at_purchase"),
         line_total(),
     )
 
@@ -65,7 +70,6 @@ def quality_fact(r: Retail) -> DataFrame:
         "base_price",
         "quantity",
         "price_at_purchase",
-        line_total(),
     )
     known = r.customers.select(
         F.col("customer_id").alias("known_customer"), "first_name", "last_name", "email"
@@ -88,8 +92,8 @@ def quality_fact(r: Retail) -> DataFrame:
             "finish",
             "base_price",
             "quantity",
-            "price_at_purchase",
-            "total_sale",
+            price().alias("price_at_purchase"),
+            line_total(),
         )
     )
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
+from ledgerloom.functions.scalars import literal_rows
 from ledgerloom.operators.relational import union_all
 from ledgerloom.schemas import LINEAGE
 
@@ -22,11 +24,7 @@ LINEAGE_ROWS = [
 def lineage_table(spark: SparkSession, as_of: str) -> DataFrame:
     at = F.lit(as_of).cast("timestamp_ntz")
     return (
-        spark.createDataFrame(
-            LINEAGE_ROWS,
-            "lineage_id string, source_object string, target_object string, "
-            "transformation_type string, transformation_logic string, dependency_level int",
-        )
+        literal_rows(spark, LINEAGE_ROWS, StructType(LINEAGE.fields[:6]))
         .withColumns({"created_timestamp": at, "last_updated": at})
         .select(*LINEAGE.names)
     )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,6 +15,9 @@ from ledgerloom.operators.retail import daily_sales
 from ledgerloom.operators.rfm import rfm_table
 
 FEATURES = ["recency", "frequency", "monetary"]
+PARALLEL_FITS = 5
+# Many short jobs run over the features; fewer rows than this per task would be all scheduling.
+ROWS_PER_TASK = 200_000
 
 
 def cluster_name(center: list[Column], mean: dict[str, Column]) -> Column:
@@ -37,12 +42,20 @@ def customer_clusters(
     data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rfm)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = data.agg(F.count("*").alias("n"), *[F.avg(c).alias(c) for c in FEATURES]).first()
+        stats = data.agg(
+            F.count("*").alias("n"),
+            *[F.avg(c).alias(c) for c in FEATURES],
+            (sum(F.var_pop(c) for c in FEATURES) / len(FEATURES)).alias("variance"),
+        ).first()
         if stats["n"] < k:
             return rfm.limit(0).withColumns(
                 {"cluster": F.lit(0), "segment": F.lit(""), "training_cost": F.lit(0.0)}
             )
-        best = best_model(data, k, restarts, seed)
+        # Centres have converged when they move by less than a hundredth of the common spread.
+        tasks = stats["n"] // ROWS_PER_TASK + 1
+        best = best_model(
+            data.coalesce(tasks), k, restarts, seed, tol=0.01 * stats["variance"] ** 0.5
+        )
     finally:
         data.unpersist()
     # k centres, as literals.
@@ -61,13 +74,18 @@ def customer_clusters(
     )
 
 
-def best_model(data: DataFrame, k: int, restarts: int, seed: int):
-    """Least-cost model of several seeds; every fit is a distributed job over the cached features."""
-    fits = (
-        KMeans(k=k, seed=seed + i, featuresCol="features", predictionCol="cluster").fit(data)
-        for i in range(restarts)
-    )
-    return min(fits, key=lambda m: m.summary.trainingCost)
+def best_model(data: DataFrame, k: int, restarts: int, seed: int, tol: float):
+    """Least-cost model of several seeds.
+
+    Every fit is a series of distributed jobs over the cached features; a few fits run at a time, so
+    that one fills the executors while another waits for its driver step.
+    """
+    kmeans = KMeans(k=k, featuresCol="features", predictionCol="cluster", maxIter=300, tol=tol)
+    fits = kmeans.fitMultiple(data, [{kmeans.seed: seed + i} for i in range(restarts)])
+    fit_next = inheritable_thread_target(data.sparkSession)(lambda _: next(fits)[1])
+    with ThreadPool(min(restarts, PARALLEL_FITS)) as pool:
+        models = pool.map(fit_next, range(restarts))
+    return min(models, key=lambda m: m.summary.trainingCost)
 
 
 def value_by_cluster(clustered: DataFrame) -> DataFrame:

@@ -11,11 +11,12 @@ from ledgerloom.functions.scalars import (
     anonymous_number,
     choose,
     last_four,
+    literal_rows,
     moment,
     trunc_ntz,
 )
 from ledgerloom.operators.relational import mean
-from ledgerloom.schemas import PII_CLASSIFICATION, RETENTION_POLICY
+from ledgerloom.schemas import LONG, PII_CLASSIFICATION, RETENTION_POLICY, TEXT, struct
 
 ADMIN_ROLES = ("DATA_ADMIN_ROLE", "ACCOUNTADMIN")
 ANALYST_ROLE = "ANALYST_ROLE"
@@ -168,7 +169,7 @@ def masking_samples(cards: DataFrame, n: int = 3) -> DataFrame:
 
 
 def classification(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CLASSIFICATION_ROWS, PII_CLASSIFICATION)
+    return literal_rows(spark, CLASSIFICATION_ROWS, PII_CLASSIFICATION)
 
 
 def masking_strategy(classified: DataFrame) -> DataFrame:
@@ -199,8 +200,10 @@ def sensitivity_rank(level: Column) -> Column:
 def field_inventory(cards: DataFrame) -> DataFrame:
     """The classified fields with the number of values each exposes, most sensitive first."""
     spark = cards.sparkSession
-    fields = spark.createDataFrame(
-        INVENTORY_ROWS, "field_name string, pii_description string, sensitivity_level string, regulation string"
+    fields = literal_rows(
+        spark,
+        INVENTORY_ROWS,
+        struct(field_name=TEXT, pii_description=TEXT, sensitivity_level=TEXT, regulation=TEXT),
     )
     exposed = cards.agg(
         F.array(
@@ -240,8 +243,10 @@ def mask_by_classification(
 
 def retention_policy(spark: SparkSession, as_of: str) -> DataFrame:
     day = F.lit(as_of).cast("timestamp_ntz").cast("date")
-    rows = spark.createDataFrame(
-        list(RETENTION_DAYS.items()), "table_name string, retention_period_days bigint"
+    rows = literal_rows(
+        spark,
+        list(RETENTION_DAYS.items()),
+        struct(table_name=TEXT, retention_period_days=LONG),
     )
     policy = rows.select(
         "*",

@@ -315,66 +315,67 @@ def customer_running_totals(sales: DataFrame) -> DataFrame:
     )
 
 
-def _favourites(sales: DataFrame, column: str, n: int) -> DataFrame:
-    """The n most frequent values per customer as one map-like list, ties in value order.
+def customer_profiles(sales: DataFrame, customers: DataFrame, n: int = 3) -> DataFrame:
+    """Inputs of a next-best-action decision for every customer.
 
-    Counted before ranking: a customer has at most one row per distinct value.
+    Lines are counted per customer, model, theme and channel first: a customer then holds at most one
+    cell per combination of the catalogue, however many lines it has. Those cells move once, by
+    customer; counting per value, ranking and collecting all keep that partitioning.
     """
-    counts = (
-        sales.filter(F.col(column).isNotNull())
-        .groupBy("customer_id", F.col(column).alias("value"))
-        .agg(F.count("*").alias("n"))
-    )
-    best_first = Window.partitionBy("customer_id").orderBy(F.desc("n"), "value")
-    return (
-        counts.withColumn("place", F.row_number().over(best_first))
-        .filter(F.col("place") <= n)
-        .groupBy("customer_id")
-        .agg(F.array_sort(F.collect_list(F.struct("place", "value", "n"))).alias("list"))
-    )
-
-
-def _as_text(favourites: Column) -> Column:
-    return F.array_join(
-        F.transform(favourites, lambda s: F.concat_ws(":", s["value"], s["n"].cast("string"))), ", "
-    )
-
-
-def customer_profiles(sales: DataFrame, n: int = 3) -> DataFrame:
-    """Inputs of a next-best-action decision for every customer."""
-    totals = sales.groupBy("customer_id").agg(
-        F.min("first_name").alias("first_name"),
-        F.min("last_name").alias("last_name"),
-        F.count("*").alias("lines"),
-        revenue().cast("double").alias("total_sale"),
-        mean("total_sale").alias("average_sale"),
-        day_label(F.max("order_date")).alias("last_order"),
-    )
-    models = _favourites(sales, "model_name", n).select(
-        "customer_id", _as_text(F.col("list")).alias("top_models")
-    )
-    themes = _favourites(sales, "theme", n).select(
-        "customer_id", _as_text(F.col("list")).alias("top_themes")
-    )
-    channel = _favourites(sales, "sales_channel", 1).select(
-        "customer_id", F.col("list")[0]["value"].alias("channel")
-    )
-    return (
-        totals.join(models, "customer_id", "left")
-        .join(themes, "customer_id", "left")
-        .join(channel, "customer_id", "left")
-        .select(
-            "customer_id",
-            full_name(F.col("first_name"), F.col("last_name")).alias("customer"),
-            "lines",
-            "total_sale",
-            "average_sale",
-            "last_order",
-            "top_models",
-            "top_themes",
-            F.coalesce("channel", F.lit("N/A")).alias("preferred_channel"),
+    cells = sales.groupBy("customer_id", "model_name", "theme", "sales_channel").agg(
+        F.count("*").alias("n"),
+        revenue().alias("sold"),
+        F.count("total_sale").alias("priced"),
+        F.max("order_date").alias("last"),
+    )
+    kinds = {"model": "model_name", "theme": "theme", "channel": "sales_channel"}
+    views = [F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in kinds.items()]
+    views.append(F.struct(F.lit("all").alias("kind"), F.lit(None).cast("string").alias("value")))
+    counted = (
+        cells.repartition("customer_id")
+        .select("customer_id", "n", "sold", "priced", "last", F.inline(F.array(*views)))
+        .filter(F.col("value").isNotNull() | (F.col("kind") == "all"))
+        .groupBy("customer_id", "kind", "value")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("sold").alias("sold"),
+            F.sum("priced").alias("priced"),
+            F.max("last").alias("last"),
         )
     )
+    best_first = Window.partitionBy("customer_id", "kind").orderBy(F.desc("n"), "value")
+    ranked = counted.withColumn("place", F.row_number().over(best_first)).filter(F.col("place") <= n)
+    of_kind = lambda kind, c: F.when(F.col("kind") == kind, c)
+    text = F.concat_ws(":", "value", F.col("n").cast("string")).alias("text")
+
+    def favourites(kind: str) -> Column:
+        listed = F.array_sort(F.collect_list(of_kind(kind, F.struct("place", text))))
+        return F.array_join(F.transform(listed, lambda s: s["text"]), ", ")
+
+    total = F.max(of_kind("all", F.col("sold"))).cast("double")
+    profile = ranked.groupBy("customer_id").agg(
+        F.max(of_kind("all", F.col("n"))).alias("lines"),
+        total.alias("total_sale"),
+        (total / F.max(of_kind("all", F.col("priced")))).alias("average_sale"),
+        day_label(F.max("last")).alias("last_order"),
+        favourites("model").alias("top_models"),
+        favourites("theme").alias("top_themes"),
+        F.max(of_kind("channel", F.when(F.col("place") == 1, F.col("value")))).alias("channel"),
+    )
+    names = customers.select(
+        "customer_id", full_name(F.col("first_name"), F.col("last_name")).alias("customer")
+    )
+    return profile.join(names, "customer_id", "left").select(
+        "customer_id",
+        "customer",
+        "lines",
+        "total_sale",
+        "average_sale",
+        "last_order",
+        "top_models",
+        "top_themes",
+        F.coalesce("channel", F.lit("N/A")).alias("preferred_channel"),
+    )
 
 
 # --- calendar and prices -----------------------------------------------------------------------
@@ -453,12 +454,14 @@ def best_month(sales: DataFrame) -> DataFrame:
     return largest(monthly, "total_sale", ["month"], 1)
 
 
-def loyal_customers(sales: DataFrame, n: int = 5) -> DataFrame:
-    """Customers with the most orders."""
-    counts = sales.groupBy("customer_id", "first_name", "last_name").agg(
+def loyal_customers(sales: DataFrame, customers: DataFrame, n: int = 5) -> DataFrame:
+    """Customers with the most orders; only the n winners look up their name."""
+    counts = sales.groupBy("customer_id").agg(
         F.countDistinct("order_id").alias("orders"), revenue().cast("double").alias("total_sale")
     )
-    return counts.orderBy(F.desc("orders"), F.desc("total_sale"), "customer_id").limit(n)
+    best = counts.orderBy(F.desc("orders"), F.desc("total_sale"), "customer_id").limit(n)
+    names = customers.select("customer_id", "first_name", "last_name")
+    return names.join(F.broadcast(best), "customer_id")
 
 
 def best_sellers_by_theme(sales: DataFrame, n: int = 3) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerloom.functions.quantiles import exact_quantiles, global_row_number, quantile_bin
 from ledgerloom.functions.scalars import elapsed_days, full_name, moment
 from ledgerloom.operators.relational import describe_columns, mean
+from ledgerloom.session import checkpointed
 
 QUARTERS = [0.0, 0.25, 0.5, 0.75, 1.0]
 
@@ -14,7 +15,9 @@ QUARTERS = [0.0, 0.25, 0.5, 0.75, 1.0]
 def rfm_table(sales: DataFrame, as_of: str | Column | None = None) -> DataFrame:
     """Days since the last order, distinct orders and revenue per customer.
 
-    The snapshot is one day after the last order of all, or ``as_of``.
+    The snapshot is one day after the last order of all, or ``as_of``. Without ``as_of`` the customer
+    rows are checkpointed: the snapshot, quantile limits and scores then read one row per customer
+    instead of joining the sales again.
     """
     per_customer = (
         sales.filter(F.col("customer_id").isNotNull())
@@ -23,11 +26,10 @@ def rfm_table(sales: DataFrame, as_of: str | Column | None = None) -> DataFrame:
             F.max("order_date").alias("last_order"),
             F.countDistinct("order_id").alias("frequency"),
             F.sum("total_sale").alias("monetary"),
-            F.min("first_name").alias("first_name"),
-            F.min("last_name").alias("last_name"),
         )
     )
     if as_of is None:
+        per_customer = checkpointed(per_customer)
         snapshot = per_customer.agg(
             (F.max("last_order") + F.expr("interval '1' day")).alias("_snapshot")
         )
@@ -40,8 +42,6 @@ def rfm_table(sales: DataFrame, as_of: str | Column | None = None) -> DataFrame:
         elapsed_days(F.col("last_order"), F.col("_snapshot")).alias("recency"),
         "frequency",
         F.col("monetary").cast("double").alias("monetary"),
-        "first_name",
-        "last_name",
     )
 
 
@@ -86,8 +86,11 @@ def segment_counts(scored: DataFrame) -> DataFrame:
     return scored.groupBy("segment").agg(F.count("*").alias("customers"))
 
 
-def quantile_segments(sales: DataFrame) -> DataFrame:
-    """Segments by quantile limits; when several rules hold, risk beats loyalty beats champion."""
+def quantile_segments(sales: DataFrame, customers: DataFrame) -> DataFrame:
+    """Segments by quantile limits; when several rules hold, risk beats loyalty beats champion.
+
+    Names join last, to one row per customer, so no text is carried through the sales aggregation.
+    """
     rfm = rfm_table(sales)
     limits = exact_quantiles(rfm, ["recency", "frequency", "monetary"], [0.25, 0.75]).select(
         F.col("recency").alias("r_limits"),
@@ -99,9 +102,12 @@ def quantile_segments(sales: DataFrame) -> DataFrame:
     champion = (F.col("monetary") > F.col("m_limits")[1]) & (
         F.col("recency") < F.col("r_limits")[0]
     )
-    return rfm.crossJoin(F.broadcast(limits)).select(
+    names = customers.select(
+        "customer_id", full_name(F.col("first_name"), F.col("last_name")).alias("customer")
+    )
+    return rfm.crossJoin(F.broadcast(limits)).join(names, "customer_id", "left").select(
         "customer_id",
-        full_name(F.col("first_name"), F.col("last_name")).alias("customer"),
+        "customer",
         "recency",
         "frequency",
         "monetary",
@@ -123,6 +129,5 @@ def segment_statistics(segments: DataFrame) -> DataFrame:
 
 def rfm_description(sales: DataFrame, as_of: str) -> DataFrame:
     return describe_columns(
-        rfm_table(sales, as_of).withColumn("monetary", F.col("monetary").cast("decimal(28,2)")),
-        ["recency", "frequency", "monetary"],
+        checkpointed(rfm_table(sales, as_of)), ["recency", "frequency", "monetary"]
     )

@@ -15,13 +15,17 @@ from ledgerloom.plans.registry import RETAIL_AS_OF, register
 from ledgerloom.sources.bindings import retail
 
 
-def on_sales(name: str, text: str | None = None, needs: str = "sales"):
-    """Register an operator that takes the sales fact."""
+def on_sales(
+    name: str, text: str | None = None, needs: str = "sales", with_customers: bool = False
+):
+    """Register an operator that takes the sales fact (and the customers, if it needs names)."""
 
-    def add(op: Callable[[DataFrame], DataFrame]):
+    def add(op: Callable[..., DataFrame]):
         @register(name, sql(needs, text) if text else None)
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return op(sales_fact(retail(spark, folder)))
+            tables = retail(spark, folder)
+            sales = sales_fact(tables)
+            return op(sales, tables.customers) if with_customers else op(sales)
 
         return op
 
@@ -180,6 +184,7 @@ on_sales(
     JOIN (SELECT customer_id, sales_channel AS channel, row_number() OVER (PARTITION BY customer_id
       ORDER BY count(*) DESC, sales_channel) AS place FROM sales GROUP BY customer_id, sales_channel) c
       ON s.customer_id = c.customer_id AND c.place = 1""",
+    with_customers=True,
 )(ops.customer_profiles)
 
 on_sales(
@@ -226,6 +231,7 @@ on_sales(
     f"""SELECT customer_id, first_name, last_name, count(DISTINCT order_id) AS orders,
     {MONEY} AS total_sale FROM sales GROUP BY 1, 2, 3
     ORDER BY orders DESC, total_sale DESC, customer_id LIMIT 5""",
+    with_customers=True,
 )(ops.loyal_customers)
 on_sales(
     "best_sellers_by_theme",
@@ -277,7 +283,7 @@ def _(sales):
     "rfm_table", "SELECT customer_id, recency, frequency, monetary FROM rfm", "rfm"
 )
 def _(sales):
-    return rfm.rfm_table(sales).drop("first_name", "last_name")
+    return rfm.rfm_table(sales)
 
 
 @on_sales(
@@ -287,7 +293,7 @@ def _(sales):
     "rfm_base",
 )
 def _(sales):
-    return rfm.rfm_table(sales, RETAIL_AS_OF).drop("first_name", "last_name")
+    return rfm.rfm_table(sales, RETAIL_AS_OF)
 
 
 on_sales(
@@ -307,7 +313,9 @@ def _(sales):
     return rfm.segment_counts(rfm.rfm_scores(sales))
 
 
-on_sales("quantile_segments", "SELECT * FROM segmented", "segmented")(rfm.quantile_segments)
+on_sales("quantile_segments", "SELECT * FROM segmented", "segmented", with_customers=True)(
+    rfm.quantile_segments
+)
 
 
 @on_sales(
@@ -316,9 +324,10 @@ on_sales("quantile_segments", "SELECT * FROM segmented", "segmented")(rfm.quanti
     round(cast(sum(cast(monetary AS decimal(28,2))) AS double) / count(monetary), 2) AS average_monetary
     FROM segmented GROUP BY segment""",
     "segmented",
+    with_customers=True,
 )
-def _(sales):
-    return rfm.segment_statistics(rfm.quantile_segments(sales))
+def _(sales, customers):
+    return rfm.segment_statistics(rfm.quantile_segments(sales, customers))
 
 
 def _describe_sql(column: str) -> str:

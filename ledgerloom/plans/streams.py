@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.operators.facts import typed_cards
+from ledgerloom.operators.facts import price, typed_cards
 from ledgerloom.operators.relational import row_counts
 from ledgerloom.plans.oracle import sql
 from ledgerloom.plans.registry import register
@@ -111,7 +111,7 @@ def line_messages(spark: SparkSession, folder: str) -> DataFrame:
                         F.col("order_status"),
                         F.col("sales_channel"),
                         F.array(
-                            F.struct(text("product_id"), F.col("quantity"), F.col("price_at_purchase"))
+                            F.struct(text("product_id"), F.col("quantity"), price().alias("price_at_purchase"))
                         ).alias("order_items"),
                     )
                 ).alias("orders")

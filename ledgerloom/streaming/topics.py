@@ -117,10 +117,16 @@ def fan_out(messages: DataFrame) -> dict[str, DataFrame]:
 
     A missing or empty list gives no rows.
     """
-    parsed = messages.select(F.from_json("data", NESTED_MESSAGE).alias("m"))
+    return flatten(parsed(messages))
 
+
+def parsed(messages: DataFrame) -> DataFrame:
+    return messages.select(F.from_json("data", NESTED_MESSAGE).alias("m"))
+
+
+def flatten(nested: DataFrame) -> dict[str, DataFrame]:
     def rows(part: str) -> DataFrame:
-        return parsed.select(F.inline(F.col(f"m.{part}")))
+        return nested.select(F.inline(F.col(f"m.{part}")))
 
     orders = rows("orders")
     items = orders.select("order_id", F.inline("order_items"))
@@ -138,9 +144,10 @@ def fan_out_stream(
     """Stream nested messages into the four tables below ``target``; empty parts write nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
+        # Parsed once for the four writes.
+        kept = parsed(batch).persist()
         try:
-            for name, rows in fan_out(kept).items():
+            for name, rows in flatten(kept).items():
                 if not rows.isEmpty():
                     rows.write.mode("overwrite").option(
                         "partitionOverwriteMode", "static"
@@ -158,12 +165,11 @@ def fan_out_stream(
 
 def payload_counts(messages: DataFrame) -> DataFrame:
     """Messages and the number of entries of each part in their payload."""
-    parsed = messages.select(F.from_json("data", NESTED_MESSAGE).alias("m"))
     sizes = [
         F.coalesce(F.sum(F.greatest(F.size(F.col(f"m.{p}")), F.lit(0))), F.lit(0)).alias(p)
         for p in PARTS
     ]
-    return parsed.agg(F.count("*").alias("messages"), *sizes)
+    return parsed(messages).agg(F.count("*").alias("messages"), *sizes)
 
 
 def count_stream(
