@@ -34,15 +34,15 @@ def with_transaction_date(df: DataFrame) -> DataFrame:
     return df.withColumn("transaction_date", F.to_date("transaction_timestamp"))
 
 
-def write_partitioned(df: DataFrame, path: str, files_per_day: int = 8) -> None:
+def write_partitioned(df: DataFrame, path: str) -> None:
     """Daily partitions; a re-run replaces only the days it contains.
 
-    Rows are spread over ``files_per_day`` tasks per day, so that one heavy day is not one task.
+    The rebalance hint groups rows by day, splits a day that is larger than the advisory partition size
+    over several tasks, and puts small days together: no day is one task, and no day is many tiny files.
     """
-    spread = F.pmod(F.xxhash64("transaction_id"), F.lit(files_per_day))
     (
         with_transaction_date(df)
-        .repartition(F.col("transaction_date"), spread)
+        .hint("rebalance", F.col("transaction_date"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("transaction_date")
@@ -51,8 +51,19 @@ def write_partitioned(df: DataFrame, path: str, files_per_day: int = 8) -> None:
 
 
 def write_clustered(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Range-partitioned and sorted files, so that min/max statistics skip row groups."""
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    """Range-partitioned and sorted files, so that min/max statistics skip row groups.
+
+    The source partition is the last range key: rows that agree on all keys, were they a third of the
+    table, can then be cut into several ranges. It does not change when a task is repeated.
+    """
+    (
+        df.withColumn("_origin", F.spark_partition_id())
+        .repartitionByRange(*keys, "_origin")
+        .sortWithinPartitions(*keys)
+        .drop("_origin")
+        .write.mode("overwrite")
+        .parquet(path)
+    )
 
 
 def since(df: DataFrame, moment) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerloom.operators.alerts import window_alerts
+from ledgerloom.operators.alerts import alert_parts, sliding_alerts
 from ledgerloom.streaming.changes import trigger
 
 
@@ -20,7 +20,7 @@ def with_event_time(cards: DataFrame, lateness: str = "15 minutes") -> DataFrame
 
 
 def alert_stream(cards: DataFrame, width: str = "15 minutes", slide: str = "1 minute") -> DataFrame:
-    return window_alerts(with_event_time(cards, width), width, slide)
+    return sliding_alerts(alert_parts(with_event_time(cards, width)), width, slide)
 
 
 def deduplicated(cards: DataFrame, span: str = "30 minutes") -> DataFrame:
