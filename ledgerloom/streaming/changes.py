@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 from ledgerloom.operators.facts import typed_cards
 from ledgerloom.schemas import CARD_TRANSACTIONS, JSON, LOAD_LOG, TEXT, struct
 from ledgerloom.sources.readers import explode_documents, list_stage, match_by_name, matching_files
+from ledgerloom.sources.sinks import replace_table
 
 CORRUPT = "_corrupt_record"
 STAGED = struct(json_data=JSON, source_file=TEXT)
@@ -130,21 +131,19 @@ def load_once(
     """Load every staged file exactly once into ``table`` and record it in ``log``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
+        # Two writes read the batch when there is a log; a single write streams it through.
+        kept = batch.persist() if log else batch
         try:
             good = kept.filter(F.col(CORRUPT).isNull()) if CORRUPT in kept.columns else kept
             rows = good.drop(CORRUPT, "source_size")
             rows = shape(rows) if shape else rows.drop("source_file")
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(
-                f"{table}/batch_id={batch_id}"
-            )
+            replace_table(rows, f"{table}/batch_id={batch_id}")
             if log:
                 entries = file_log(kept, table_name or table)
-                entries.coalesce(1).write.mode("overwrite").option(
-                    "partitionOverwriteMode", "static"
-                ).parquet(f"{log}/batch_id={batch_id}")
+                replace_table(entries.coalesce(1), f"{log}/batch_id={batch_id}")
         finally:
-            kept.unpersist()
+            if log:
+                kept.unpersist()
 
     return (
         stream.writeStream.foreachBatch(write)

@@ -10,6 +10,7 @@ from pyspark.sql.types import StructType
 
 from ledgerloom.schemas import CUSTOMERS, ENVELOPE, NESTED_MESSAGE, ORDER_ITEMS, ORDERS, PRODUCTS
 from ledgerloom.sources.readers import list_stage, match_by_name
+from ledgerloom.sources.sinks import replace_table
 from ledgerloom.streaming.changes import loaded_files, trigger
 
 PARTS = ("products", "customers", "orders")
@@ -98,9 +99,7 @@ def topics_to_tables(
                 rows = kept.filter(F.col("topic") == topic).select(
                     F.from_json("data", schema).alias("row")
                 )
-                rows.select("row.*").write.mode("overwrite").option(
-                    "partitionOverwriteMode", "static"
-                ).parquet(f"{path}/batch_id={batch_id}")
+                replace_table(rows.select("row.*"), f"{path}/batch_id={batch_id}")
         finally:
             kept.unpersist()
 
@@ -149,9 +148,7 @@ def fan_out_stream(
         try:
             for name, rows in flatten(kept).items():
                 if not rows.isEmpty():
-                    rows.write.mode("overwrite").option(
-                        "partitionOverwriteMode", "static"
-                    ).parquet(f"{target}/{name}/batch_id={batch_id}")
+                    replace_table(rows, f"{target}/{name}/batch_id={batch_id}")
         finally:
             kept.unpersist()
 
@@ -178,9 +175,7 @@ def count_stream(
     """Per-batch payload counts, written while consuming."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        payload_counts(batch).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).parquet(f"{target}/batch_id={batch_id}")
+        replace_table(payload_counts(batch), f"{target}/batch_id={batch_id}")
 
     return (
         messages.writeStream.foreachBatch(write)
