@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ledgerloom.functions.scalars import literal_rows, moment
+from ledgerloom.operators.relational import attach
 from ledgerloom.schemas import ALERT_CONFIG, ALERT_HISTORY
 
 # Id, name, type, threshold, comparison, table, column, minutes, channel, active.
@@ -128,10 +129,9 @@ def run_alerts(cards: DataFrame, backlog: DataFrame, as_of: str) -> DataFrame:
     last_five = F.col("transaction_timestamp") > moment(as_of) - F.expr("interval '5' minute")
     high = F.count(F.when((F.col("amount") > HIGH_VALUE) & last_five, 1)).alias("high_value_count")
     # Rows below the high-value limit are needed for the rate, so only the time range is pushed down.
-    checks = (
-        within(cards, 15, as_of)
-        .agg(high, approval_rate().alias("approval_rate"))
-        .crossJoin(F.broadcast(backlog.select(F.col("pending").alias("stream_count"))))
+    checks = attach(
+        within(cards, 15, as_of).agg(high, approval_rate().alias("approval_rate")),
+        backlog.select(F.col("pending").alias("stream_count")),
     )
     high_on = F.col("high_value_count") > 0
     rate_on = F.coalesce(F.col("approval_rate") < LOW_APPROVAL, F.lit(False))

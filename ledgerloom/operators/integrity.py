@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions.scalars import share
+from ledgerloom.operators.relational import attach
 from ledgerloom.sources.bindings import Retail
 
 
@@ -50,7 +51,7 @@ def _one_row(*frames: DataFrame) -> DataFrame:
     """Side-by-side one-row aggregates."""
     first, *rest = frames
     for frame in rest:
-        first = first.crossJoin(F.broadcast(frame))
+        first = attach(first, frame)
     return first
 
 

@@ -120,37 +120,43 @@ def _lag_polynomials(theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ar, mov
 
 
-def _shocks(w: np.ndarray, theta: np.ndarray) -> np.ndarray:
-    """One-step errors conditional on zero shocks before the start."""
-    ar, mov = _lag_polynomials(theta)
-    e = np.zeros(len(w))
-    filtered = np.convolve(w, ar)[: len(w)]
-    for t in range(len(w)):
-        back = min(t, SEASON + 1)
-        e[t] = filtered[t] - mov[1 : back + 1] @ e[t - back : t][::-1]
-    return e
+def _shocks(w: np.ndarray, thetas: np.ndarray) -> np.ndarray:
+    """One-step errors, one column per coefficient row, conditional on zero shocks before the start."""
+    n, pad = len(w), SEASON + 1
+    polynomials = [_lag_polynomials(theta) for theta in thetas]
+    ar = np.array([p[0] for p in polynomials])
+    mov = np.array([p[1] for p in polynomials])
+    before = np.r_[np.zeros(pad), w]
+    lags = (0, 1, SEASON, SEASON + 1)
+    filtered = sum(np.outer(before[pad - k : pad - k + n], ar[:, k]) for k in lags)
+    e = np.zeros((n + pad, len(thetas)))
+    near, season, far = mov[:, 1], mov[:, SEASON], mov[:, SEASON + 1]
+    for t in range(n):
+        e[t + pad] = filtered[t] - near * e[t + pad - 1] - season * e[t + 1] - far * e[t]
+    return e[pad:]
+
+
+def _with_steps(theta: np.ndarray, size: float = 1e-5) -> np.ndarray:
+    return np.vstack([theta, theta + size * np.eye(4)])
 
 
 def _fit(w: np.ndarray) -> np.ndarray:
     """Conditional least squares by damped Gauss-Newton with coefficients inside (-1, 1)."""
     theta, damping = np.zeros(4), 1e-2
-    errors = _shocks(w, theta)
+    columns = _shocks(w, _with_steps(theta))
     for _ in range(40):
-        jac = np.empty((len(w), 4))
-        for i in range(4):
-            shifted = theta.copy()
-            shifted[i] += 1e-5
-            jac[:, i] = (_shocks(w, shifted) - errors) / 1e-5
+        errors = columns[:, 0]
+        jac = (columns[:, 1:] - columns[:, :1]) / 1e-5
         normal = jac.T @ jac
         step = np.linalg.lstsq(
             normal + damping * np.diag(np.diag(normal) + 1e-12), -jac.T @ errors, rcond=None
         )[0]
         trial = np.clip(theta + step, -0.98, 0.98)
-        trial_errors = _shocks(w, trial)
-        if trial_errors @ trial_errors < errors @ errors:
-            gain = 1 - (trial_errors @ trial_errors) / (errors @ errors)
-            theta, errors, damping = trial, trial_errors, damping / 3
-            if gain < 1e-8:
+        trial_columns = _shocks(w, _with_steps(trial))
+        cost, trial_cost = errors @ errors, trial_columns[:, 0] @ trial_columns[:, 0]
+        if trial_cost < cost:
+            theta, columns, damping = trial, trial_columns, damping / 3
+            if 1 - trial_cost / cost < 1e-8:
                 break
         else:
             damping *= 4
@@ -163,7 +169,7 @@ def seasonal_forecast(y: np.ndarray, steps: int, z: float = 1.959963984540054) -
     """Mean, lower and upper limit of the next ``steps`` values as an array of three columns."""
     w = _difference(y)
     theta = _fit(w) if np.ptp(w) > 0 else np.zeros(4)
-    errors = _shocks(w, theta)
+    errors = _shocks(w, theta[None])[:, 0]
     ar, mov = _lag_polynomials(theta)
     differencing = np.convolve([1.0, -1.0], np.r_[1.0, np.zeros(SEASON - 1), -1.0])
     full_ar = np.convolve(ar, differencing)
@@ -211,6 +217,9 @@ def sales_forecast(sales: DataFrame, by: str | None = None, steps: int = 30) ->
     """
     keyed = sales.withColumn("series", F.lit("ALL") if by is None else F.col(by).cast("string"))
     daily = daily_sales(keyed, "series").withColumn("total_sale", F.col("total_sale").cast("double"))
-    return daily.groupBy("series").applyInPandas(
+    # A fit costs far more than its bytes suggest, so the series keep all shuffle partitions instead of
+    # being packed into few tasks by size.
+    tasks = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return daily.repartition(tasks, "series").groupBy("series").applyInPandas(
         lambda pdf: _forecast_series(pdf, steps), FORECAST_SCHEMA
     )

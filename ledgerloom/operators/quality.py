@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.functions.quantiles import exact_quantiles
 from ledgerloom.functions.scalars import choose, day_label, digits, elapsed_days, moment, share
-from ledgerloom.operators.relational import surplus_rows, with_share
+from ledgerloom.operators.relational import attach, surplus_rows, with_share
 
 
 def tally(condition: Column) -> Column:
@@ -322,7 +322,7 @@ def distinct_keys(df: DataFrame) -> DataFrame:
         )
     ]
     first, second, third = parts
-    return first.crossJoin(F.broadcast(second)).crossJoin(F.broadcast(third))
+    return attach(attach(first, second), third)
 
 
 def cancelled_share(orders: DataFrame) -> DataFrame:
@@ -347,8 +347,7 @@ def outlier_report(df: DataFrame, column: str = "total_sale") -> DataFrame:
     )
     x = F.col("x")
     return (
-        df.select(F.col(column).cast("double").alias("x"))
-        .crossJoin(F.broadcast(limits))
+        attach(df.select(F.col(column).cast("double").alias("x")), limits)
         .agg(
             F.round(F.max("q1"), 4).alias("q1"),
             F.round(F.max("q3"), 4).alias("q3"),
@@ -380,8 +379,7 @@ def quality_score(df: DataFrame, as_of: str) -> DataFrame:
     )
     band = choose({"EXCELLENT": F.col("s") >= 95, "GOOD": F.col("s") >= 80}, F.lit("INSUFFICIENT"))
     return (
-        frame_summary(df, as_of)
-        .crossJoin(F.broadcast(surplus))
+        attach(frame_summary(df, as_of), surplus)
         .withColumn("s", score)
         .select(
             "total_records",

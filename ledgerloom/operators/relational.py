@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerloom.functions.quantiles import exact_quantiles
 from ledgerloom.functions.scalars import json_value, sql_null
 
 
@@ -26,6 +27,11 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def attach(df: DataFrame, scalars: DataFrame) -> DataFrame:
+    """Add the columns of a global aggregate, which is one row by construction, to every row."""
+    return df.crossJoin(F.broadcast(scalars))
+
+
 def mean(column: str | Column) -> Column:
     """Average of a decimal column as double, without the intermediate rounding of a decimal average."""
     return F.sum(column).cast("double") / F.count(column)
@@ -40,7 +46,7 @@ def with_share(
     if digits is not None:
         exact = F.col(value).cast("decimal(20,0)") * 100 / F.col("_total").cast("decimal(20,0)")
         ratio = F.round(exact, digits).cast("double")
-    return counts.crossJoin(F.broadcast(total)).select(*counts.columns, ratio.alias(name))
+    return attach(counts, total).select(*counts.columns, ratio.alias(name))
 
 
 def group_statistics(cards: DataFrame, *keys: str) -> DataFrame:
@@ -155,8 +161,6 @@ def upper_case_columns(df: DataFrame) -> DataFrame:
 
 def describe_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Long-form summary: one row per column with count, mean, std, min, quartiles, max."""
-    from ledgerloom.functions.quantiles import exact_quantiles
-
     def cell(c: str) -> Column:
         x = F.col(c).cast("double")
         return F.struct(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.functions.scalars import day_label, full_name, month_label, month_number
-from ledgerloom.operators.relational import largest, mean
+from ledgerloom.operators.relational import attach, largest, mean
 
 def revenue() -> Column:
     return F.sum("total_sale")
@@ -139,9 +139,9 @@ def basket_affinity(sales: DataFrame) -> DataFrame:
 def top_affinity(sales: DataFrame, n: int = 5) -> DataFrame:
     """The n most frequent pairs, labelled "A & B". A single order gives no result."""
     enough = _baskets(sales).agg((F.sum("orders") > 1).alias("enough"))
+    best = largest(basket_affinity(sales), "pair_count", ["a", "b"], n)
     return (
-        largest(basket_affinity(sales), "pair_count", ["a", "b"], n)
-        .crossJoin(F.broadcast(enough))
+        attach(best, enough)
         .filter("enough")
         .select(F.concat_ws(" & ", "a", "b").alias("product_pair"), "pair_count")
     )
@@ -176,7 +176,7 @@ def copurchase_network(sales: DataFrame) -> DataFrame:
     """Edges with their weight relative to the strongest edge."""
     edges = copurchase_edges(sales)
     strongest = edges.agg(F.max("weight").alias("_max"))
-    return edges.crossJoin(F.broadcast(strongest)).select(
+    return attach(edges, strongest).select(
         "a", "b", "weight", (F.col("weight") / F.col("_max")).alias("relative_weight")
     )
 

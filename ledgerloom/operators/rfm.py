@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.quantiles import exact_quantiles, global_row_number, quantile_bin
 from ledgerloom.functions.scalars import elapsed_days, full_name, moment
-from ledgerloom.operators.relational import describe_columns, mean
+from ledgerloom.operators.relational import attach, describe_columns, mean
 from ledgerloom.session import checkpointed
 
 QUARTERS = [0.0, 0.25, 0.5, 0.75, 1.0]
@@ -33,7 +33,7 @@ def rfm_table(sales: DataFrame, as_of: str | Column | None = None) -> DataFrame:
         snapshot = per_customer.agg(
             (F.max("last_order") + F.expr("interval '1' day")).alias("_snapshot")
         )
-        per_customer = per_customer.crossJoin(F.broadcast(snapshot))
+        per_customer = attach(per_customer, snapshot)
     else:
         at = moment(as_of) if isinstance(as_of, str) else as_of
         per_customer = per_customer.withColumn("_snapshot", at)
@@ -60,8 +60,7 @@ def rfm_scores(sales: DataFrame) -> DataFrame:
         F.col("frequency_rank").alias("f_edges"),
         F.col("monetary").alias("m_edges"),
     )
-    # One row of edges.
-    scored = rfm.crossJoin(F.broadcast(named)).select(
+    scored = attach(rfm, named).select(
         "customer_id",
         "recency",
         "frequency",
@@ -105,7 +104,7 @@ def quantile_segments(sales: DataFrame, customers: DataFrame) -> DataFrame:
     names = customers.select(
         "customer_id", full_name(F.col("first_name"), F.col("last_name")).alias("customer")
     )
-    return rfm.crossJoin(F.broadcast(limits)).join(names, "customer_id", "left").select(
+    return attach(rfm, limits).join(names, "customer_id", "left").select(
         "customer_id",
         "customer",
         "recency",

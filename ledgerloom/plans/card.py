@@ -376,7 +376,7 @@ on_cards(
 def _(cards):
     rows = cards.agg(F.count("*").alias("rows_to_mask"))
     strategy = privacy.masking_strategy(privacy.classification(cards.sparkSession))
-    return strategy.crossJoin(F.broadcast(rows))
+    return relational.attach(strategy, rows)
 
 
 @on_cards(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.operators import integrity, quality as ops, relational
-from ledgerloom.operators.facts import quality_fact
+from ledgerloom.operators.facts import quality_fact, sales_fact
 from ledgerloom.plans.oracle import sql
 from ledgerloom.plans.registry import RETAIL_AS_OF, register
 from ledgerloom.sources.bindings import Retail, retail
@@ -169,8 +169,6 @@ on_retail(
 
 @on_retail("join_loss", LOSS.format("sales"), "sales")
 def _(r):
-    from ledgerloom.operators.facts import sales_fact
-
     return integrity.join_loss(r, sales_fact(r))
 
 
