@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, exact_dedup, sharding
+from ledgerloom.llm import bpe, exact_dedup, license_scan, secret_scan, sharding
 from ledgerloom.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -49,10 +49,36 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = F.array(*map(F.lit, secret_scan.KINDS))
+
+    def text_of(spans):
+        part = lambda s: F.concat_ws(":", F.element_at(kinds, s["kind"] + 1), s["begin"], s["stop"])
+        return F.array_join(F.transform(spans, part), ",")
+
+    found = F.col("found")
+    count = lambda n: F.size(F.filter(found, lambda s: s["kind"] == n)).cast("long")
+    return secret_scan.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(text_of(F.filter(found, lambda s: s["kind"] < 3)), 256).alias("base_sha256"),
+        text_of(found).alias("spans"),
+    )
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.withColumns({"licenses": F.array_join("licenses", ","), "best": F.round("best", 6)})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_secrets": op6_secrets,
     "op7_byte_shards": op7_byte_shards,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
+    "op10_licenses": op10_licenses,
 }
 
 ORACLE_SQL: dict[str, str] = {"op8_exact_dedup": OP8_SQL}
