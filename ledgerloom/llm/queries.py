@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, exact_dedup, license_scan, pii_surrogates, secret_scan, sharding
+from ledgerloom.llm import bpe, decontamination, exact_dedup, license_scan, pii_surrogates, secret_scan, sharding
 from ledgerloom.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -56,6 +56,10 @@ def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.array(*map(F.lit, secret_scan.KINDS))
 
@@ -82,6 +86,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pii_surrogates": op2_pii_surrogates,
+    "op5_decontamination": op5_decontamination,
     "op6_secrets": op6_secrets,
     "op7_byte_shards": op7_byte_shards,
     "op8_exact_dedup": op8_exact_dedup,
