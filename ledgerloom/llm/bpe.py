@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -28,7 +29,10 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import whole_text
 
 SLICE_CHARS = 2_000_000
-CACHE = 150_000
+CACHE = 400_000
+WALL, GONE = -1, -2  # between pre-tokens; merged into its left neighbour
+SHIFT = 24
+MASK = (1 << SHIFT) - 1
 # Fixed value: the published split pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -53,9 +57,10 @@ class Codec:
         symbols = byte_symbols()
         back = {ord(s): b for b, s in enumerate(symbols)}
         self.first = [vocab[s] for s in symbols]
-        self.merges = {}
+        self.first_table = np.array(self.first, np.int64)
+        self.merges: dict[int, tuple[int, int]] = {}  # pair of ids -> rank, id of the result
         for rank, (a, b) in enumerate(m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]):
-            self.merges.setdefault((vocab[a], vocab[b]), (rank, vocab[a + b]))
+            self.merges.setdefault(vocab[a] << SHIFT | vocab[b], (rank, vocab[a + b]))
         self.bytes = {i: bytes(back[ord(c)] for c in token) for token, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes |= {i: token.encode() for token, i in self.special.items()}
@@ -65,43 +70,65 @@ class Codec:
 
     def learn(self, words: list[str]) -> None:
         """Encode distinct pre-tokens together and put them into the cache."""
+        raw = "\n".join(words).encode() if not any("\n" in w for w in words) else None
         ids: list[int] = []
-        starts = []
-        for word in words:
-            starts.append(len(ids))
-            ids.extend(map(self.first.__getitem__, word.encode()))
-            ids.append(-1)  # a wall between pre-tokens
+        if raw is not None:  # one pass over all bytes, walls in the place of the line ends
+            symbols = self.first_table[np.frombuffer(raw + b"\n", np.uint8)]
+            symbols[np.frombuffer(raw + b"\n", np.uint8) == 10] = WALL
+            ids = symbols.tolist()
+        else:
+            for word in words:
+                ids.extend(map(self.first.__getitem__, word.encode()))
+                ids.append(WALL)
+        merges = self.merges
+        flat = np.array(ids, np.int64)
         right = list(range(1, len(ids) + 1))
         left = list(range(-1, len(ids) - 1))
-        places: dict[tuple[int, int], list[int]] = {}
-        merges = self.merges
-        for i, pair in enumerate(zip(ids, ids[1:], strict=False)):
-            if pair in places:
-                places[pair].append(i)
-            elif pair in merges:
-                places[pair] = [i]
-        active = [(*merges[pair], pair) for pair in places]
+        keys = np.where((flat[:-1] >= 0) & (flat[1:] >= 0), flat[:-1] << SHIFT | flat[1:], -1)
+        order = np.argsort(keys, kind="stable")
+        distinct, starts = np.unique(keys[order], return_index=True)
+        ends = [*starts[1:].tolist(), len(order)]
+        places: dict[int, list[int]] = {
+            key: order[start:end].tolist()
+            for key, start, end in zip(distinct.tolist(), starts.tolist(), ends, strict=True)
+            if key in merges
+        }
+        active = [(merges[key], key) for key in places]
         heapq.heapify(active)
+        get = places.get
         while active:
-            _, made, pair = heapq.heappop(active)
-            a, b = pair
-            for i in sorted(places.pop(pair)):
+            (_, made), key = heapq.heappop(active)
+            a, b = key >> SHIFT, key & MASK
+            found = places.pop(key)
+            if a == b:  # only then can places overlap; the left one goes first
+                found.sort()
+            for i in found:
                 if ids[i] != a or ids[j := right[i]] != b:
                     continue  # an earlier merge took one of the two
-                ids[i], ids[j] = made, -2
+                ids[i], ids[j] = made, GONE
                 after = right[i] = right[j]
                 left[after] = i
-                for k, near in ((left[i], (ids[left[i]], made)) if i else (0, (-1, made)), (i, (made, ids[after]))):
-                    if near in places:
-                        places[near].append(k)
+                if (other := ids[after]) >= 0:
+                    near = made << SHIFT | other
+                    if (held := get(near)) is not None:
+                        held.append(i)
+                    elif near in merges:
+                        places[near] = [i]
+                        heapq.heappush(active, (merges[near], near))
+                before = left[i]  # -1 before the first symbol: the last one, a wall
+                if (other := ids[before]) >= 0:
+                    near = other << SHIFT | made
+                    if (held := get(near)) is not None:
+                        held.append(before)
                     elif near in merges:
-                        places[near] = [k]
-                        heapq.heappush(active, (*merges[near], near))
-        if len(self.known) + len(words) > CACHE:
-            self.known.clear()
-        ends = [*starts[1:], len(ids)]
-        for word, start, end in zip(words, starts, ends, strict=True):
-            self.known[word] = [x for x in ids[start : end - 1] if x >= 0]
+                        places[near] = [before]
+                        heapq.heappush(active, (merges[near], near))
+        flat = np.array(ids, np.int64)
+        flat = flat[flat != GONE]
+        start, rest = 0, flat.tolist()
+        for word, end in zip(words, np.flatnonzero(flat == WALL).tolist(), strict=True):
+            self.known[word] = rest[start:end]
+            start = end + 1
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text."""
