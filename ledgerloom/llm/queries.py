@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontamination, exact_dedup, license_scan, pii_surrogates, secret_scan, sharding
+from ledgerloom.llm import bpe, decontamination, exact_dedup, license_scan, ngram_join, pii_surrogates, secret_scan, sharding
 from ledgerloom.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -49,6 +49,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii_surrogates.replace_entities(docs, key="a key of the caller").select(
@@ -85,6 +89,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_pii_surrogates": op2_pii_surrogates,
     "op5_decontamination": op5_decontamination,
     "op6_secrets": op6_secrets,
