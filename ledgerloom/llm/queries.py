@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontamination, exact_dedup, license_scan, ngram_join, pii_surrogates, secret_scan, sharding
+from ledgerloom.llm import bpe, decontamination, exact_dedup, license_scan, ngram_join, pii_surrogates, quality, secret_scan, sharding, toxicity
 from ledgerloom.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -60,6 +60,21 @@ def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    machine = toxicity.train(docs, labels.where(~held_out))
+    return toxicity.score(docs, machine).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scorer = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, scorer).withColumn("kept", F.col("score") >= quality.REJECT_BELOW)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -91,6 +106,8 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_pii_surrogates": op2_pii_surrogates,
+    "op3_toxicity": op3_toxicity,
+    "op4_quality": op4_quality,
     "op5_decontamination": op5_decontamination,
     "op6_secrets": op6_secrets,
     "op7_byte_shards": op7_byte_shards,
