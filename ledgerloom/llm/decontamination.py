@@ -73,6 +73,20 @@ def _near_masks(bits: int) -> list[int]:
     return [sum(1 << i for i in c) for k in range(NEAR + 1) for c in combinations(range(bits), k)]
 
 
+class Gate(dict):
+    """A word's hash if an item holds the word, else 0; kept between texts in a bounded cache."""
+
+    def __init__(self, known: dict[bytes, int]):
+        super().__init__()
+        self.known = known
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHE:
+            self.clear()
+        value = self[word] = self.known.get(_bare(word), 0)
+        return value
+
+
 class Items:
     """The items of one slice: their shingles, weights, fingerprints and block index."""
 
@@ -102,20 +116,11 @@ class Items:
             for i, fingerprint in enumerate(self.prints):
                 for mask in masks:
                     found.setdefault(_block(fingerprint, b) ^ mask, []).append(i)
-        self.near: dict[bytes, int] = {}
+        self.gate = Gate(self.known)
 
     def _weights(self, shingles: np.ndarray) -> np.ndarray:
         return np.array([self.weight.get(s, 1.0) for s in shingles.tolist()])
 
-    def gate(self, word: bytes) -> int:
-        """The word's hash if an item holds the word, else 0; remembered in a bounded cache."""
-        value = self.near.get(word)
-        if value is None:
-            if len(self.near) >= CACHE:
-                self.near.clear()
-            value = self.near[word] = self.known.get(_bare(word), 0)
-        return value
-
     def within(self, fingerprint: int) -> set[int]:
         """Items whose fingerprint differs in at most RADIUS bits."""
         near = set()
@@ -132,7 +137,7 @@ class Items:
     def matches(self, text: str) -> dict[int, tuple[float, int]]:
         """item -> (similarity, first word) of the best window of a text."""
         words = words_of(text)
-        gated = np.fromiter(map(self.gate, words), np.uint64, len(words))
+        gated = np.fromiter(map(self.gate.__getitem__, words), np.uint64, len(words))
         best: dict[int, tuple[float, int]] = {}
         own_hashes = None
         for length in self.lengths:
@@ -143,7 +148,8 @@ class Items:
             for k in range(length):
                 full &= gated[k : k + len(grams)] != 0
             at = np.flatnonzero(full)
-            at = at[np.isin(grams[at], self.shingles)]
+            place = np.minimum(np.searchsorted(self.shingles, grams[at]), len(self.shingles) - 1)
+            at = at[self.shingles[place] == grams[at]]
             if not len(at):
                 continue
             starts: dict[int, list[tuple[int, int]]] = {}  # words of the item -> ranges of window starts

@@ -33,7 +33,7 @@ BUCKETS = 1 << 20
 SAMPLE = 20_000
 TERMS = 1_024
 LEAST_DOCS = 8
-REGULAR, ITERATIONS = 1e-3, 60
+REGULAR, ITERATIONS = 1e-2, 120
 CACHE = 400_000
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -122,7 +122,7 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Machine:
         return Vectors.sparse(len(known), at.tolist(), [1.0] * len(at))
 
     machine = FMClassifier(
-        factorSize=4, initStd=0.01, stepSize=0.05, regParam=REGULAR, maxIter=ITERATIONS, solver="adamW", seed=seed
+        factorSize=4, initStd=0.1, stepSize=0.1, regParam=REGULAR, maxIter=ITERATIONS, solver="adamW", seed=seed
     ).fit(rows.select("label", features("buckets").alias("features")))
     return Machine(known, machine.intercept, machine.linear.toArray(), machine.factors.toArray())
 
