@@ -9,14 +9,15 @@ from ledgerloom.operators.relational import mean
 from ledgerloom.schemas import COST_METRICS
 
 
-def cost_rows(usage: DataFrame, as_of: str, days: int = 1) -> DataFrame:
-    """Distinct usage rows since ``days`` before the day of ``as_of`` with cost and advice."""
+def cost_rows(usage: DataFrame, as_of: str, days: int | None = 1) -> DataFrame:
+    """Distinct usage rows since ``days`` before the day of ``as_of`` (None: all) with cost and advice."""
     today = moment(as_of).cast("date")
     facts = ["warehouse_name", "credits_used", "query_count", "avg_execution_time", "total_bytes_scanned"]
     cost = F.try_divide(F.col("credits_used"), F.col("query_count"))
+    if days is not None:
+        usage = usage.filter(F.col("start_time") >= F.date_sub(today, days).cast("timestamp_ntz"))
     rows = (
-        usage.filter(F.col("start_time") >= F.date_sub(today, days).cast("timestamp_ntz"))
-        .select(*facts)
+        usage.select(*facts)
         .distinct()
         .withColumns(
             {

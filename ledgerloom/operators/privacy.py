@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ledgerloom.functions.scalars import (
     amount_bucket,
@@ -16,6 +17,7 @@ from ledgerloom.functions.scalars import (
     trunc_ntz,
 )
 from ledgerloom.operators.relational import mean
+from ledgerloom.sources.readers import remove
 from ledgerloom.schemas import LONG, PII_CLASSIFICATION, RETENTION_POLICY, TEXT, struct
 
 ADMIN_ROLES = ("DATA_ADMIN_ROLE", "ACCOUNTADMIN")
@@ -63,6 +65,7 @@ def analyst_view(cards: DataFrame) -> DataFrame:
             "masked_card_number"
         ),
         "merchant_id",
+        "loaded_at",
     )
 
 
@@ -79,6 +82,7 @@ def auditor_view(cards: DataFrame) -> DataFrame:
         "approved",
         F.lit("MASKED").alias("card_number"),
         "merchant_id",
+        "loaded_at",
     )
 
 
@@ -319,11 +323,18 @@ def anonymise_stored(
     The changed days go to ``staging`` first and replace the table's days from there, because a path
     cannot be overwritten while it is read. A run that died may be repeated.
     """
-    stored = spark.read.parquet(path)
+    # The flag exists only in rewritten days; declared, it is null elsewhere whichever file is read first.
+    schema = spark.read.parquet(path).schema
+    if "anonymised" not in schema.names:
+        schema = StructType([*schema.fields]).add("anonymised", "boolean")
+    stored = spark.read.schema(schema).parquet(path)
     ts = F.col("transaction_timestamp")
-    flag = F.coalesce("anonymised", F.lit(False)) if "anonymised" in stored.columns else F.lit(False)
+    flag = F.coalesce("anonymised", F.lit(False))
     gone = ts < years_before(as_of, drop_years)
     pending = gone | ((ts < years_before(as_of, hash_years)) & ~flag)
+    # Only days that reach a limit are read at all.
+    within = lambda years: F.col("transaction_date") <= years_before(as_of, years).cast("date")
+    stored = stored.filter(within(min(drop_years, hash_years)))
     # One value per calendar day.
     days = stored.filter(pending).select("transaction_date").distinct()
     touched = stored.join(F.broadcast(days), "transaction_date")
@@ -333,13 +344,12 @@ def anonymise_stored(
     ).parquet(staging, **replace_days)
     emptied = [
         row["transaction_date"]
-        for row in stored.groupBy("transaction_date")
+        for row in stored.filter(within(drop_years)).groupBy("transaction_date")
         .agg(F.max(ts).alias("newest"))
         .filter(F.col("newest") < years_before(as_of, drop_years))
         .collect()
     ]
     rewritten = spark.read.schema(touched.withColumn("anonymised", F.lit(False)).schema).parquet(staging)
     rewritten.write.option("partitionOverwriteMode", "dynamic").parquet(path, **replace_days)
-    nothing = rewritten.drop("transaction_date").limit(0)
-    for day in emptied:
-        nothing.write.mode("overwrite").parquet(f"{path}/transaction_date={day}")
+    for day in emptied:  # no row is left: the folder goes, without a job
+        remove(spark, f"{path}/transaction_date={day}")

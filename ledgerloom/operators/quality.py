@@ -24,7 +24,7 @@ def range_validation(cards: DataFrame) -> DataFrame:
     amount, key = F.col("amount"), F.col("transaction_id")
 
     def line(label: str, *checks: Column) -> Column:
-        names = ["below_minimum", "above_maximum", "missing"]
+        names = ["negative_amounts", "excessive_amounts", "null_amounts"]
         return F.struct(
             F.lit(label).alias("check_type"),
             F.count("*").alias("total_records"),
@@ -66,13 +66,13 @@ def card_format(cards: DataFrame) -> DataFrame:
 
 
 def distributions(cards: DataFrame) -> DataFrame:
-    """Share of every transaction type and of every currency."""
+    """Share of every transaction type and of every currency; the names of the first part hold for both."""
     both = cards.groupBy("transaction_type", "currency").agg(F.count("*").alias("n"))
 
     def part(label: str, column: str) -> DataFrame:
-        counts = both.groupBy(F.col(column).alias("value")).agg(F.sum("n").alias("record_count"))
-        return with_share(counts, "record_count").select(
-            F.lit(label).alias("anomaly_check"), "value", "record_count", "percentage"
+        counts = both.groupBy(F.col(column).alias("transaction_type")).agg(F.sum("n").alias("count"))
+        return with_share(counts, "count").select(
+            F.lit(label).alias("anomaly_check"), "transaction_type", "count", "percentage"
         )
 
     return part("Transaction Type Distribution", "transaction_type").unionByName(

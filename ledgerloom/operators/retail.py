@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.functions.scalars import day_label, full_name, month_label, month_number
 from ledgerloom.operators.relational import attach, largest, mean
+from ledgerloom.session import checkpointed
+
 
 def revenue() -> Column:
     return F.sum("total_sale")
@@ -22,7 +24,7 @@ def per_order(sales: DataFrame, *also: str) -> DataFrame:
 def kpi_row(sales: DataFrame) -> DataFrame:
     return per_order(sales).agg(
         F.sum("order_total").cast("double").alias("total_revenue"),
-        F.countDistinct("order_id").alias("total_orders"),
+        F.count("order_id").alias("total_orders"),  # an order has one customer, so one row
         F.countDistinct("customer_id").alias("unique_customers"),
     )
 
@@ -33,13 +35,22 @@ def daily_sales(sales: DataFrame, *keys: str) -> DataFrame:
     With keys, every key gets its own span of days.
     """
     sold = sales.groupBy(*keys, F.to_date("order_date").alias("day")).agg(revenue().alias("sold"))
-    spine = (
-        sold.groupBy(*keys)
-        .agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
-        .select(*keys, F.explode(F.sequence("first_day", "last_day")).alias("day"))
-    )
-    return spine.join(sold, [*keys, "day"], "left").select(
-        *keys, "day", F.coalesce("sold", F.lit(0).cast("decimal(28,2)")).alias("total_sale")
+    # Every day with sales also brings the days up to the next one: no second look at the sales. The
+    # window runs over one row per day (and key).
+    following = F.lead("day").over(Window.partitionBy(*keys).orderBy("day"))
+    days = F.sequence("sold_day", F.coalesce(F.date_sub("following", 1), F.col("sold_day")))
+    return (
+        sold.where("day IS NOT NULL")
+        .withColumn("following", following)
+        .withColumnRenamed("day", "sold_day")
+        .select(*keys, "sold_day", "sold", F.explode(days).alias("day"))
+        .select(
+            *keys,
+            "day",
+            F.when(F.col("day") == F.col("sold_day"), F.col("sold"))
+            .otherwise(F.lit(0).cast("decimal(28,2)"))
+            .alias("total_sale"),
+        )
     )
 
 
@@ -256,15 +267,16 @@ def cohort_retention(sales: DataFrame) -> DataFrame:
 def cohort_matrix(sales: DataFrame, indexes: Sequence[int] | None = None) -> DataFrame:
     """Retention as a matrix: one row per cohort, one column per month offset.
 
-    Without ``indexes`` the offsets are 0 to the span of the data, from a one-row aggregate.
+    Without ``indexes`` the offsets are 0 to the largest one of the retention rows, which are kept (one
+    per cohort and month) instead of joining the sales again.
     """
+    retention = cohort_retention(sales)
     if indexes is None:
-        month = month_number(F.col("order_date"))
-        span = sales.agg((F.max(month) - F.min(month)).alias("span")).first()["span"]
-        indexes = range((span or 0) + 1)
+        retention = checkpointed(retention)
+        last = retention.agg(F.max("cohort_index").alias("last")).first()["last"]
+        indexes = range((last or 0) + 1)
     wide = (
-        cohort_retention(sales)
-        .groupBy("cohort_month")
+        retention.groupBy("cohort_month")
         .pivot("cohort_index", list(indexes))
         .agg(F.first("retention"))
     )

@@ -188,7 +188,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
           WHEN query_count > 0 AND credits_micro > 100000 * query_count THEN 'High cost per query'
           WHEN total_bytes_scanned > 1000000000 THEN 'Consider result caching'
           ELSE 'Operating efficiently' END AS optimization_opportunities
-        FROM usage WHERE start_time >= timestamp '2024-01-01 00:00:00'""",
+        FROM usage""",
     ),
     "runs": (
         (),

@@ -142,19 +142,19 @@ on_sales(
 on_sales(
     "cohort_retention", "SELECT cohort_month, cohort_index, customers, retention FROM retention", "retention"
 )(ops.cohort_retention)
-# The benchmark orders lie in 80 calendar months at every scale, so these are all offsets.
-OFFSETS = range(80)
 
 
 @on_sales(
     "cohort_matrix",
-    "SELECT cohort_month, "
-    + ", ".join(f"max(retention) FILTER (cohort_index = {i}) AS month_{i}" for i in OFFSETS)
-    + " FROM retention GROUP BY cohort_month",
+    "SELECT cohort_month, 'month_' || cohort_index AS month_offset, retention FROM retention",
     "retention",
 )
 def _(sales):
-    return ops.cohort_matrix(sales, OFFSETS)
+    """The matrix in long form, as its columns follow the data."""
+    wide = ops.cohort_matrix(sales)
+    months = [c for c in wide.columns if c != "cohort_month"]
+    return wide.unpivot("cohort_month", months, "month_offset", "retention").where("retention IS NOT NULL")
+
 
 on_sales(
     "customer_running_totals",

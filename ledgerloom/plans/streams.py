@@ -11,13 +11,17 @@ from ledgerloom.plans.registry import register
 from ledgerloom.schemas import CARD_TRANSACTIONS, ORDER_ITEMS, ORDERS
 from ledgerloom.session import fresh_dir
 from ledgerloom.sources import bindings
+from ledgerloom.sources.readers import is_folder
 from ledgerloom.streaming import alerts, changes, topics
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The event table as a file stream."""
-    schema = bindings.table(spark, folder, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    """The event table as a file stream: the folder that it is, or the one file in the parent folder."""
+    reader = spark.readStream.schema(bindings.table(spark, folder, "events").schema)
+    path = f"{folder}/events.parquet"
+    if is_folder(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", "events.parquet").parquet(folder)
 
 
 def card_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -163,7 +167,7 @@ def _(spark, folder):
     sql(
         "r_orders r_items",
         """SELECT count(*) AS messages, cast(0 AS bigint) AS products, cast(0 AS bigint) AS customers,
-    count(*) AS orders FROM r_items i JOIN r_orders o ON i.order_id = o.order_id""",
+    count(*) AS orders, cast(0 AS bigint) AS unreadable FROM r_items i JOIN r_orders o ON i.order_id = o.order_id""",
     ),
 )
 def _(spark, folder):

@@ -103,3 +103,24 @@ def list_stage(spark: SparkSession, path: str) -> DataFrame:
             F.col("modificationTime").alias("last_modified"),
         )
     )
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, at = _file_system(spark, path)
+    return system.exists(at)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    system, at = _file_system(spark, path)
+    return system.exists(at) and system.getFileStatus(at).isDirectory()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder with all it holds."""
+    system, at = _file_system(spark, path)
+    system.delete(at, True)

@@ -1,27 +1,34 @@
 """Load-once file ingest, change streams over staged cards, and load history.
 
 Every consumer is one streaming query with its own checkpoint, which is its offset. A batch writes to a
-folder named by its id, so a batch that is repeated after a failure replaces its own output.
+folder named by the checkpoint's own id and its number, so a batch that is repeated after a failure replaces
+its own output, and a new checkpoint, whose numbers start again, leaves older rows alone.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ledgerloom.operators.facts import typed_cards
 from ledgerloom.schemas import CARD_TRANSACTIONS, JSON, LOAD_LOG, TEXT, struct
-from ledgerloom.sources.readers import explode_documents, list_stage, match_by_name, matching_files
+from ledgerloom.sources.readers import exists, explode_documents, list_stage, match_by_name, matching_files
 from ledgerloom.sources.sinks import replace_table
 
 CORRUPT = "_corrupt_record"
 STAGED = struct(json_data=JSON, source_file=TEXT)
 
 
+def batch_folder(spark: SparkSession, checkpoint: str, batch_id: int) -> str:
+    """Folder of one batch; a checkpoint keeps its id in its metadata, written before the first batch."""
+    stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+    return f"stream={stream}/batch_id={batch_id}"
+
+
 def trigger(every: str | None) -> dict:
     """Scheduled micro-batches, or all present data once. Batches without data do not run."""
     return {"processingTime": every} if every else {"availableNow": True}
@@ -42,7 +49,7 @@ def json_stage_stream(
     ``clean='delete'`` removes a file after a later batch has committed, ``'archive'`` moves it.
     """
     reader = (
-        spark.readStream.schema(StructType(schema.fields).add(CORRUPT, "string"))
+        spark.readStream.schema(StructType([*schema.fields]).add(CORRUPT, "string"))
         .option("columnNameOfCorruptRecord", CORRUPT)
     )
     return _cleaned(reader, clean, archive).json(path).select("*", *_source_columns())
@@ -137,10 +144,11 @@ def load_once(
             good = kept.filter(F.col(CORRUPT).isNull()) if CORRUPT in kept.columns else kept
             rows = good.drop(CORRUPT, "source_size")
             rows = shape(rows) if shape else rows.drop("source_file")
-            replace_table(rows, f"{table}/batch_id={batch_id}")
+            folder = batch_folder(batch.sparkSession, checkpoint, batch_id)
+            replace_table(rows, f"{table}/{folder}")
             if log:
                 entries = file_log(kept, table_name or table)
-                replace_table(entries.coalesce(1), f"{log}/batch_id={batch_id}")
+                replace_table(entries.repartition(1), f"{log}/{folder}")  # one row per file of the batch
         finally:
             if log:
                 kept.unpersist()
@@ -225,11 +233,10 @@ def pending_files(spark: SparkSession, stage: str, log: str) -> DataFrame:
 
 
 def loaded_files(spark: SparkSession, log: str) -> DataFrame | None:
-    """Names of loaded files; nothing before the first load."""
-    try:
-        return load_history(spark, log).select("file_name").distinct()
-    except AnalysisException:
+    """Names of loaded files; nothing before the first load. A log that cannot be read is an error."""
+    if not exists(spark, log):
         return None
+    return load_history(spark, log).select("file_name").distinct()
 
 
 def peek(spark: SparkSession, stage: str, log: str) -> DataFrame:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ledgerloom.schemas import CUSTOMERS, ENVELOPE, NESTED_MESSAGE, ORDER_ITEMS, ORDERS, PRODUCTS
 from ledgerloom.sources.readers import list_stage, match_by_name
 from ledgerloom.sources.sinks import replace_table
-from ledgerloom.streaming.changes import loaded_files, trigger
+from ledgerloom.streaming.changes import CORRUPT, batch_folder, loaded_files, trigger
 
 PARTS = ("products", "customers", "orders")
 TABLES = {"products": PRODUCTS, "customers": CUSTOMERS, "orders": ORDERS, "order_items": ORDER_ITEMS}
@@ -89,17 +89,30 @@ def topics_to_tables(
     table_of: Mapping[str, tuple[str, StructType]],
     checkpoint: str,
     every: str | None = None,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
-    """Write every topic's messages to its table: topic -> (path, schema)."""
+    """Write every topic's messages to its table: topic -> (path, schema).
+
+    Unreadable messages and those of other topics go to ``quarantine`` with a reason; without that path they
+    end the batch.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
-            for topic, (path, schema) in table_of.items():
-                rows = kept.filter(F.col("topic") == topic).select(
-                    F.from_json("data", schema).alias("row")
+            folder = batch_folder(batch.sparkSession, checkpoint, batch_id)
+            refused = kept.filter(~F.col("topic").isin(*table_of) | F.col("topic").isNull()).select(
+                "topic", "data", F.lit("unmapped topic").alias("reason")
+            )
+            for topic, (_, schema) in table_of.items():
+                broken = readable(kept.filter(F.col("topic") == topic), schema).filter(unreadable())
+                refused = refused.unionByName(
+                    broken.select(F.lit(topic).alias("topic"), "data", F.lit("unreadable").alias("reason"))
                 )
-                replace_table(rows.select("row.*"), f"{path}/batch_id={batch_id}")
+            refuse(refused, quarantine, folder)
+            for topic, (path, schema) in table_of.items():
+                rows = readable(kept.filter(F.col("topic") == topic), schema).filter(~unreadable())
+                replace_table(rows.select("m.*").drop(CORRUPT), f"{path}/{folder}")
         finally:
             kept.unpersist()
 
@@ -119,8 +132,29 @@ def fan_out(messages: DataFrame) -> dict[str, DataFrame]:
     return flatten(parsed(messages))
 
 
+def readable(messages: DataFrame, schema: StructType) -> DataFrame:
+    """data and m, the parsed payload with the broken text where it is not JSON of the schema."""
+    with_text = StructType([*schema.fields]).add(CORRUPT, "string")
+    return messages.select(
+        "data", F.from_json("data", with_text, {"columnNameOfCorruptRecord": CORRUPT}).alias("m")
+    )
+
+
+def unreadable() -> Column:
+    return F.col("m").isNull() | F.col(f"m.{CORRUPT}").isNotNull()
+
+
+def refuse(rows: DataFrame, quarantine: str | None, folder: str) -> None:
+    """Keep refused messages in the quarantine table, or fail when there is none and some were refused."""
+    if quarantine:
+        replace_table(rows, f"{quarantine}/{folder}")
+    elif not rows.isEmpty():
+        raise ValueError(f"refused messages and no quarantine: {rows.first()}")
+
+
 def parsed(messages: DataFrame) -> DataFrame:
-    return messages.select(F.from_json("data", NESTED_MESSAGE).alias("m"))
+    """Readable payloads; see :func:`readable` for the others."""
+    return readable(messages, NESTED_MESSAGE).filter(~unreadable())
 
 
 def flatten(nested: DataFrame) -> dict[str, DataFrame]:
@@ -140,15 +174,21 @@ def flatten(nested: DataFrame) -> dict[str, DataFrame]:
 def fan_out_stream(
     messages: DataFrame, target: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Stream nested messages into the four tables below ``target``; empty parts write nothing."""
+    """Stream nested messages into the four tables below ``target``; empty parts write nothing.
+
+    Messages that are not JSON go to the table ``quarantine`` beside them.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Parsed once for the four writes.
-        kept = parsed(batch).persist()
+        # Parsed once for all writes.
+        kept = readable(batch, NESTED_MESSAGE).persist()
         try:
-            for name, rows in flatten(kept).items():
+            folder = batch_folder(batch.sparkSession, checkpoint, batch_id)
+            broken = kept.filter(unreadable()).select("data", F.lit("unreadable").alias("reason"))
+            refuse(broken, f"{target}/quarantine", folder)
+            for name, rows in flatten(kept.filter(~unreadable())).items():
                 if not rows.isEmpty():
-                    replace_table(rows, f"{target}/{name}/batch_id={batch_id}")
+                    replace_table(rows, f"{target}/{name}/{folder}")
         finally:
             kept.unpersist()
 
@@ -166,7 +206,8 @@ def payload_counts(messages: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.greatest(F.size(F.col(f"m.{p}")), F.lit(0))), F.lit(0)).alias(p)
         for p in PARTS
     ]
-    return parsed(messages).agg(F.count("*").alias("messages"), *sizes)
+    broken = F.count(F.when(unreadable(), 1)).alias("unreadable")
+    return readable(messages, NESTED_MESSAGE).agg(F.count("*").alias("messages"), *sizes, broken)
 
 
 def count_stream(
@@ -175,7 +216,8 @@ def count_stream(
     """Per-batch payload counts, written while consuming."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        replace_table(payload_counts(batch), f"{target}/batch_id={batch_id}")
+        folder = batch_folder(batch.sparkSession, checkpoint, batch_id)
+        replace_table(payload_counts(batch), f"{target}/{folder}")
 
     return (
         messages.writeStream.foreachBatch(write)

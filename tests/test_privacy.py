@@ -107,6 +107,20 @@ def test_anonymise_stored_rewrites_only_old_days(spark, aged, tmp_path):
     assert recent == sorted(p.name for p in (tmp_path / "cards" / "transaction_date=2024-01-30").glob("*.parquet"))
 
 
+def test_anonymise_stored_after_a_late_old_day(spark, aged, make_cards, tmp_path):
+    path = str(tmp_path / "cards")
+    sinks.write_partitioned(aged, path)
+    ops.anonymise_stored(spark, path, str(tmp_path / "first"), NOW)
+    done = {r["transaction_id"]: r["card_number"] for r in spark.read.parquet(path).collect()}
+    late = make_cards({"transaction_id": 9, "transaction_timestamp": at("2021-01-01 00:00:00"), "card_number": 4_000_000_000_000_009})
+    sinks.write_partitioned(late, path)  # no flag in this day, whose folder comes first
+    ops.anonymise_stored(spark, path, str(tmp_path / "second"), NOW)
+    rows = {r["transaction_id"]: r["card_number"] for r in spark.read.parquet(path).collect()}
+    assert {i: rows[i] for i in done} == done
+    expected = spark.range(1).select(anonymous_number(F.lit(4_000_000_000_000_009))).first()[0]
+    assert set(rows) == {*done, 9} and rows[9] == expected
+
+
 def test_samples(make_cards):
     cards = make_cards({}, {}, {}, {})
     rows = ops.masking_samples(cards).collect()

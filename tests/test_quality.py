@@ -39,7 +39,7 @@ def test_range_validation(odd_cards):
 def test_empty_table_sums_are_null(odd_cards):
     empty = odd_cards.limit(0)
     row = ops.range_validation(empty).first()
-    assert row["total_records"] == 0 and row["missing"] is None
+    assert row["total_records"] == 0 and row["null_amounts"] is None
     assert ops.measure(empty, F.lit(None).cast("timestamp_ntz")).first()["metric_value"] is None
 
 
@@ -59,7 +59,7 @@ def test_duplicates(odd_cards):
 def test_distribution_shares_sum_to_hundred(odd_cards):
     for _, rows in ops.distributions(odd_cards).toPandas().groupby("anomaly_check"):
         assert rows["percentage"].sum() == pytest.approx(100)
-        assert rows["record_count"].sum() == 8
+        assert rows["count"].sum() == 8
 
 
 def test_metric_table(odd_cards):

@@ -234,3 +234,57 @@ def test_run_history_and_stop(spark, tmp_path):
     query = changes.load_once(stream, str(tmp_path / "t"), str(tmp_path / "offsets"), every="1 minute")
     assert query.isActive
     assert len(runs.stop_all(spark)) == 1 and not spark.streams.active
+
+
+def test_a_new_checkpoint_leaves_older_rows_alone(spark, tmp_path):
+    stage, table = tmp_path / "stage", str(tmp_path / "table")
+    put(stage, "cc_trans_1.json", document(1))
+    changes.refine(spark, str(stage), table, str(tmp_path / "first")).awaitTermination()
+    time.sleep(1.1)
+    since = spark.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss.SSS")).first()[0]
+    time.sleep(1.1)
+    put(stage, "cc_trans_2.json", document(2))
+    changes.refine(spark, str(stage), table, str(tmp_path / "second"), since=since).awaitTermination()
+    rows = changes.read_table(spark, table, CARD_TRANSACTIONS).collect()
+    assert sorted(r["element"] for r in rows) == [1, 2]
+
+
+def raw(spark, *messages):
+    return spark.createDataFrame([(m,) for m in messages], "data string")
+
+
+def test_refused_messages_are_kept(spark, tmp_path):
+    good = '{"orders": [{"order_id": "o1", "order_items": [{"product_id": "p1", "quantity": 1}]}]}'
+    assert topics.payload_counts(raw(spark, good, "no json")).first()["unreadable"] == 1
+    topics.publish(raw(spark, good, "no json", '{"orders": 5'), str(tmp_path / "topics"), "orders")
+    messages = topics.consume(spark, str(tmp_path / "topics"), "orders")
+    topics.fan_out_stream(messages, str(tmp_path / "tables"), str(tmp_path / "offsets")).awaitTermination()
+    assert changes.read_table(spark, str(tmp_path / "tables" / "orders"), ORDERS).count() == 1
+    refused = spark.read.parquet(str(tmp_path / "tables" / "quarantine"))
+    assert sorted(r["data"] for r in refused.collect()) == ["no json", '{"orders": 5']
+
+
+def test_unmapped_topics_are_kept(spark, tmp_path):
+    topics.publish(raw(spark, '{"customer_id": "c1"}', "broken"), str(tmp_path / "in"), "customers")
+    topics.publish(raw(spark, "{}"), str(tmp_path / "in"), "other")
+    messages = spark.readStream.schema(topics.ENVELOPE).option("recursiveFileLookup", True).json(str(tmp_path / "in"))
+    topics.topics_to_tables(
+        messages, {"customers": (str(tmp_path / "customers"), CUSTOMERS)}, str(tmp_path / "offsets"),
+        quarantine=str(tmp_path / "refused"),
+    ).awaitTermination()
+    assert changes.read_table(spark, str(tmp_path / "customers"), CUSTOMERS).count() == 1
+    refused = spark.read.parquet(str(tmp_path / "refused")).collect()
+    assert sorted((r["topic"], r["reason"]) for r in refused) == [("customers", "unreadable"), ("other", "unmapped topic")]
+
+
+def test_streams_over_a_folder_table(spark, tmp_path):
+    from ledgerloom.plans.streams import event_stream
+
+    source = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    source.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    query = (
+        event_stream(spark, str(tmp_path)).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "o"))
+        .trigger(availableNow=True).start(str(tmp_path / "out"))
+    )
+    query.awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == source.count()
