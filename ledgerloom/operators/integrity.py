@@ -31,6 +31,23 @@ def orders_without_items(orders: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def unmatched(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Orphan items and orders without items as one row: one look at each table.
+
+    Both sides are counted per order before they meet; NULL keys never match and count as unmatched.
+    """
+    item_keys = items.groupBy("order_id").agg(F.count("*").alias("item_rows"))
+    order_keys = orders.groupBy("order_id").agg(F.count("*").alias("order_rows"))
+    both = item_keys.join(order_keys, "order_id", "full")
+    alone = lambda own, other: F.coalesce(
+        F.sum(F.when(F.col(other).isNull(), F.col(own))), F.lit(0)
+    )
+    return both.agg(
+        alone("item_rows", "order_rows").alias("orphan_items"),
+        alone("order_rows", "item_rows").alias("orders_without_items"),
+    )
+
+
 def orphan_customers(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Distinct unknown customer keys; NULL is not a key."""
     keys = orders.select("customer_id").filter(F.col("customer_id").isNotNull()).distinct()
@@ -79,8 +96,7 @@ def join_loss(r: Retail, joined: DataFrame) -> DataFrame:
 def integrity_report(r: Retail, joined: DataFrame) -> DataFrame:
     """The four orphan counts, a verdict and the loss of the join, as one row."""
     report = _one_row(
-        orphan_items(r.items, r.orders),
-        orders_without_items(r.orders, r.items),
+        unmatched(r.items, r.orders),
         orphan_customers(r.orders, r.customers),
         orphan_products(r.items, r.products),
         join_loss(r, joined),

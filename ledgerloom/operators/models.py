@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.operators.retail import daily_sales
 from ledgerloom.operators.rfm import rfm_table
+from ledgerloom.session import checkpointed
 
 FEATURES = ["recency", "frequency", "monetary"]
 PARALLEL_FITS = 5
@@ -38,7 +39,8 @@ def customer_clusters(
     Clusters are named by their centre against the overall means, so several may share a name. Fewer
     than k customers give no rows.
     """
-    rfm = rfm_table(sales, as_of).select("customer_id", *FEATURES)
+    # One row per customer, kept: the restarts and the labels read it instead of joining the sales again.
+    rfm = checkpointed(rfm_table(sales, as_of).select("customer_id", *FEATURES))
     data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rfm)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -176,6 +176,14 @@ def classification(spark: SparkSession) -> DataFrame:
     return literal_rows(spark, CLASSIFICATION_ROWS, PII_CLASSIFICATION)
 
 
+# The method of each category, for the report and for the masks.
+METHODS = {
+    "PAYMENT_INSTRUMENT": "Show only last 4 digits",
+    "FINANCIAL_DATA": "Round to nearest 100",
+    "TRANSACTION_DATA": "Hash or tokenize",
+}
+
+
 def masking_strategy(classified: DataFrame) -> DataFrame:
     level, category = F.col("sensitivity_level"), F.col("pii_category")
     return classified.select(
@@ -187,11 +195,7 @@ def masking_strategy(classified: DataFrame) -> DataFrame:
             F.lit("NO_MASKING"),
         ).alias("masking_strategy"),
         choose(
-            {
-                "Show only last 4 digits": category == "PAYMENT_INSTRUMENT",
-                "Round to nearest 100": category == "FINANCIAL_DATA",
-                "Hash or tokenize": category == "TRANSACTION_DATA",
-            },
+            {method: category == name for name, method in METHODS.items()},
             F.lit("No masking required"),
         ).alias("masking_method"),
     ).orderBy(sensitivity_rank(level), "field_name")
@@ -225,21 +229,18 @@ def field_inventory(cards: DataFrame) -> DataFrame:
 def mask_by_classification(
     cards: DataFrame, rows: Sequence[tuple] = CLASSIFICATION_ROWS
 ) -> DataFrame:
-    """Mask every column by the method its class asks for.
-
-    Payment instruments keep four digits, financial values go to hundreds, identifiers and flags of a
-    transaction are hashed when their sensitivity is at least medium.
-    """
-    methods: dict[str, Column] = {}
-    for name, _, level, category, *_ in rows:
-        column = F.col(name.lower())
-        if category == "PAYMENT_INSTRUMENT":
-            methods[name.lower()] = last_four(column)
-        elif category == "FINANCIAL_DATA":
-            methods[name.lower()] = F.round(column, -2).cast("decimal(10,0)")
-        elif category == "TRANSACTION_DATA" and level != "LOW":
-            methods[name.lower()] = F.sha2(column.cast("string"), 256)
-    return cards.withColumns(methods)
+    """Mask every column by the method of its category, unless its sensitivity is low (no masking)."""
+    masks = {
+        METHODS["PAYMENT_INSTRUMENT"]: last_four,
+        METHODS["FINANCIAL_DATA"]: lambda c: F.round(c, -2).cast("decimal(10,0)"),
+        METHODS["TRANSACTION_DATA"]: lambda c: F.sha2(c.cast("string"), 256),
+    }
+    masked = {
+        name.lower(): masks[METHODS[category]](F.col(name.lower()))
+        for name, _, level, category, *_ in rows
+        if level != "LOW" and category in METHODS
+    }
+    return cards.withColumns(masked)
 
 
 # --- retention ---------------------------------------------------------------------------------

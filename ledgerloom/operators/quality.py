@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.functions.quantiles import exact_quantiles
 from ledgerloom.functions.scalars import choose, day_label, digits, elapsed_days, moment, share
-from ledgerloom.operators.relational import attach, surplus_rows, with_share
+from ledgerloom.operators.relational import attach, with_share
 
 
 def tally(condition: Column) -> Column:
@@ -370,7 +370,25 @@ def freshness(df: DataFrame, as_of: str) -> DataFrame:
 
 def quality_score(df: DataFrame, as_of: str) -> DataFrame:
     """Weighted score of completeness, uniqueness, validity and consistency with its band."""
-    surplus = surplus_rows(df, "order_id", "product_id")
+    conditions = list(consistency_conditions(as_of).values())
+    # One pass over the joined frame: counts per order and product, of which all figures are sums.
+    counts = {
+        "missing": sum((tally(F.col(c).isNull()) for c in df.columns), F.lit(0)),
+        "valid": tally(F.col("total_sale") > 0),
+        **{f"passed_{i}": tally(c) for i, c in enumerate(conditions)},
+    }
+    per_key = df.groupBy("order_id", "product_id").agg(
+        F.count("*").alias("n"), *[c.alias(name) for name, c in counts.items()]
+    )
+    total, cells = F.sum("n"), F.sum("n") * len(df.columns)
+    rates = [F.round(share(F.sum(f"passed_{i}"), total), 2) for i in range(len(conditions))]
+    figures = per_key.agg(
+        F.coalesce(total, F.lit(0)).alias("total_records"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"),
+        share(cells - F.sum("missing"), cells).alias("completeness"),
+        share(F.sum("valid"), total).alias("validity"),
+        (sum(rates, F.lit(0.0)) / len(rates)).alias("mean_rate"),
+    )
     score = (
         F.col("completeness") * 0.3
         + (100 - share(F.col("duplicate_rows"), F.col("total_records"))) * 0.2
@@ -379,8 +397,7 @@ def quality_score(df: DataFrame, as_of: str) -> DataFrame:
     )
     band = choose({"EXCELLENT": F.col("s") >= 95, "GOOD": F.col("s") >= 80}, F.lit("INSUFFICIENT"))
     return (
-        attach(frame_summary(df, as_of), surplus)
-        .withColumn("s", score)
+        figures.withColumn("s", score)
         .select(
             "total_records",
             "duplicate_rows",
