@@ -18,7 +18,7 @@ def read_json_lines(
     """
     reader = spark.read.schema(schema)
     if corrupt_column:
-        schema = StructType(schema.fields).add(corrupt_column, "string")
+        schema = StructType([*schema.fields]).add(corrupt_column, "string")
         reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", corrupt_column)
     return reader.json(path)
 
