@@ -84,10 +84,13 @@ def choose(cases: Mapping[str, Column], default: Column | None = None) -> Column
     return expr if default is None else expr.otherwise(default)
 
 
+# Amounts above each bound and the label of their range; anything else has the last label.
+AMOUNT_RANGES = ((1000, ">1000"), (500, "500-1000"), (100, "100-500"))
+LOWEST_RANGE = "<100"
+
+
 def amount_bucket(amount: Column) -> Column:
-    return choose(
-        {">1000": amount > 1000, "500-1000": amount > 500, "100-500": amount > 100}, F.lit("<100")
-    )
+    return choose({label: amount > bound for bound, label in AMOUNT_RANGES}, F.lit(LOWEST_RANGE))
 
 
 def anonymous_number(number: Column) -> Column:

@@ -94,9 +94,14 @@ def mask_card(number: Column, role: Column) -> Column:
     )
 
 
+# The amount an auditor sees for amounts above each bound, and for the rest.
+RANGE_VALUES = ((1000, 1500), (500, 750), (100, 300))
+LOWEST_VALUE = 50
+
+
 def mask_amount(amount: Column, role: Column) -> Column:
     """Whole amounts for admins, hundreds for analysts, one value per range for auditors."""
-    coarse = F.when(amount > 1000, 1500).when(amount > 500, 750).when(amount > 100, 300).otherwise(50)
+    coarse = F.coalesce(*[F.when(amount > bound, value) for bound, value in RANGE_VALUES], F.lit(LOWEST_VALUE))
     return (
         F.when(role.isin(*ADMIN_ROLES), amount)
         .when(role == ANALYST_ROLE, F.round(amount, -2).cast("decimal(10,2)"))

@@ -19,26 +19,28 @@ def tally(condition: Column) -> Column:
 # --- card table --------------------------------------------------------------------------------
 
 
+# Check, its column, lower and upper limit; and the digits a card number has.
+RANGES = (
+    ("Amount Validation", "amount", 0, 10_000),
+    ("Transaction ID Validation", "transaction_id", 1_000_000_000, 9_999_999_999),
+)
+CARD_DIGITS = (15, 19)
+
+
 def range_validation(cards: DataFrame) -> DataFrame:
     """Amount and transaction id range checks, from a single pass."""
-    amount, key = F.col("amount"), F.col("transaction_id")
 
-    def line(label: str, *checks: Column) -> Column:
-        names = ["negative_amounts", "excessive_amounts", "null_amounts"]
+    def line(label: str, column: str, low: int, high: int) -> Column:
+        value = F.col(column)
         return F.struct(
             F.lit(label).alias("check_type"),
             F.count("*").alias("total_records"),
-            *[tally(c).alias(n) for c, n in zip(checks, names)],
+            tally(value < low).alias("negative_amounts"),
+            tally(value > high).alias("excessive_amounts"),
+            tally(value.isNull()).alias("null_amounts"),
         )
 
-    return cards.agg(
-        F.array(
-            line("Amount Validation", amount < 0, amount > 10000, amount.isNull()),
-            line(
-                "Transaction ID Validation", key < 1_000_000_000, key > 9_999_999_999, key.isNull()
-            ),
-        ).alias("lines")
-    ).select(F.inline("lines"))
+    return cards.agg(F.array(*[line(*check) for check in RANGES]).alias("lines")).select(F.inline("lines"))
 
 
 CARD_REQUIRED = {
@@ -59,8 +61,8 @@ def card_format(cards: DataFrame) -> DataFrame:
     length = digits(F.col("card_number"))
     return cards.agg(
         F.count("*").alias("total_cards"),
-        tally(length < 15).alias("short_card_numbers"),
-        tally(length > 19).alias("long_card_numbers"),
+        tally(length < CARD_DIGITS[0]).alias("short_card_numbers"),
+        tally(length > CARD_DIGITS[1]).alias("long_card_numbers"),
         tally(F.col("card_number") < 0).alias("negative_card_numbers"),
     )
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerloom.functions import scalars
 from ledgerloom.functions.scalars import json_value, second_boundaries
 from ledgerloom.operators import alerts, cost, lineage, monitoring, privacy, quality, relational
 from ledgerloom.operators.facts import typed_cards
@@ -159,44 +160,35 @@ def _(cards):
 
 # --- card quality ------------------------------------------------------------------------------
 
+# The twins of the checks state each check's definition over its fixed limits.
 on_cards(
     "range_validation",
-    """SELECT 'Amount Validation' AS check_type, count(*) AS total_records,
-    cast(sum(CASE WHEN amount < 0 THEN 1 ELSE 0 END) AS bigint) AS negative_amounts,
-    cast(sum(CASE WHEN amount > 10000 THEN 1 ELSE 0 END) AS bigint) AS excessive_amounts,
-    cast(sum(CASE WHEN amount IS NULL THEN 1 ELSE 0 END) AS bigint) AS null_amounts FROM cards
-    UNION ALL SELECT 'Transaction ID Validation', count(*),
-    cast(sum(CASE WHEN transaction_id < 1000000000 THEN 1 ELSE 0 END) AS bigint),
-    cast(sum(CASE WHEN transaction_id > 9999999999 THEN 1 ELSE 0 END) AS bigint),
-    cast(sum(CASE WHEN transaction_id IS NULL THEN 1 ELSE 0 END) AS bigint) FROM cards""",
+    """SELECT check_type, count(*) AS total_records, count(*) FILTER (value < low) AS negative_amounts,
+    count(*) FILTER (value > high) AS excessive_amounts, count(*) - count(value) AS null_amounts FROM ("""
+    + " UNION ALL ".join(
+        f"SELECT '{check}' AS check_type, cast({column} AS double) AS value, {low} AS low, {high} AS high FROM cards"
+        for check, column, low, high in quality.RANGES
+    )
+    + ") GROUP BY check_type",
 )(quality.range_validation)
 on_cards(
     "card_null_report",
-    "SELECT "
-    + ", ".join(
-        f"cast(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS bigint) AS {name}"
-        for c, name in quality.CARD_REQUIRED.items()
-    )
-    + " FROM cards",
+    "SELECT " + ", ".join(f"count(*) - count({c}) AS {name}" for c, name in quality.CARD_REQUIRED.items()) + " FROM cards",
 )(quality.null_report)
 on_cards(
     "card_format",
-    """SELECT count(*) AS total_cards,
-    cast(sum(CASE WHEN length(cast(card_number AS varchar)) < 15 THEN 1 ELSE 0 END) AS bigint)
-      AS short_card_numbers,
-    cast(sum(CASE WHEN length(cast(card_number AS varchar)) > 19 THEN 1 ELSE 0 END) AS bigint)
-      AS long_card_numbers,
-    cast(sum(CASE WHEN card_number < 0 THEN 1 ELSE 0 END) AS bigint) AS negative_card_numbers
-    FROM cards""",
+    f"""SELECT count(*) AS total_cards, count(*) FILTER (n < {quality.CARD_DIGITS[0]}) AS short_card_numbers,
+    count(*) FILTER (n > {quality.CARD_DIGITS[1]}) AS long_card_numbers,
+    count(*) FILTER (card_number < 0) AS negative_card_numbers
+    FROM (SELECT card_number, length(cast(card_number AS varchar)) AS n FROM cards)""",
 )(quality.card_format)
 on_cards(
     "distribution_anomalies",
-    """SELECT 'Transaction Type Distribution' AS anomaly_check, transaction_type,
-    count(*) AS count,
-    cast(count(*) AS double) * 100 / cast(sum(count(*)) OVER () AS double) AS percentage
-    FROM cards GROUP BY transaction_type
-    UNION ALL SELECT 'Currency Distribution', currency, count(*),
-    cast(count(*) AS double) * 100 / cast(sum(count(*)) OVER () AS double) FROM cards GROUP BY currency""",
+    """SELECT CASE grouping(currency) WHEN 1 THEN 'Transaction Type' ELSE 'Currency' END || ' Distribution'
+      AS anomaly_check,
+    CASE grouping(currency) WHEN 1 THEN transaction_type ELSE currency END AS transaction_type,
+    count(*) AS count, count(*)::double * 100 / (SELECT count(*) FROM cards)::double AS percentage
+    FROM cards GROUP BY GROUPING SETS ((transaction_type), (currency))""",
 )(quality.distributions)
 
 
@@ -277,6 +269,12 @@ def _(cards):
 # --- masks -------------------------------------------------------------------------------------
 
 
+def ladder(column: str, steps, last) -> str:
+    """The label of the first bound that a column exceeds."""
+    text = lambda v: f"'{v}'" if isinstance(v, str) else str(v)
+    return "coalesce(" + ", ".join(f"CASE WHEN {column} > {b} THEN {text(v)} END" for b, v in steps) + f", {text(last)})"
+
+
 def _loaded(cards: DataFrame) -> DataFrame:
     """The event table knows no load time; five minutes after the transaction stand for it."""
     return cards.withColumn("loaded_at", F.col("transaction_timestamp") + F.expr("interval 5 minute"))
@@ -296,23 +294,25 @@ def _(cards):
 
 on_cards(
     "auditor_view",
-    """SELECT element, object_type, sha256(cast(transaction_id AS varchar)) AS hashed_transaction_id,
-    transaction_type, CASE WHEN amount > 1000 THEN '>1000' WHEN amount > 500 THEN '500-1000'
-      WHEN amount > 100 THEN '100-500' ELSE '<100' END AS amount_range, currency,
-    cast(date_trunc('month', transaction_timestamp) AS timestamp) AS transaction_month, approved,
-    'MASKED' AS card_number, merchant_id,
+    f"""SELECT * EXCLUDE (transaction_id, amount, transaction_timestamp, card_number),
+    sha256(transaction_id::varchar) AS hashed_transaction_id,
+    {ladder('amount', scalars.AMOUNT_RANGES, scalars.LOWEST_RANGE)} AS amount_range,
+    date_trunc('month', transaction_timestamp)::timestamp AS transaction_month, 'MASKED' AS card_number,
     transaction_timestamp + interval 5 minute AS loaded_at FROM cards""",
 )(lambda cards: privacy.auditor_view(_loaded(cards)))
 
 ROLES = ["DATA_ADMIN_ROLE", "ANALYST_ROLE", "AUDITOR_ROLE", "PUBLIC"]
-MASKED_SQL = """SELECT role, transaction_id,
-    CASE role WHEN 'DATA_ADMIN_ROLE' THEN amount WHEN 'ANALYST_ROLE' THEN round(amount, -2)
-      WHEN 'AUDITOR_ROLE' THEN CASE WHEN amount > 1000 THEN 1500 WHEN amount > 500 THEN 750
-        WHEN amount > 100 THEN 300 ELSE 50 END ELSE 0 END AS amount,
-    CASE role WHEN 'DATA_ADMIN_ROLE' THEN card_number
-      WHEN 'ANALYST_ROLE' THEN cast(right(cast(card_number AS varchar), 4) AS bigint) ELSE 0 END
-      AS card_number
-    FROM cards, (SELECT unnest(['DATA_ADMIN_ROLE','ANALYST_ROLE','AUDITOR_ROLE','PUBLIC']) AS role)"""
+# What each role sees: amount and card number, as expressions over the cards.
+SEEN = {
+    "DATA_ADMIN_ROLE": ("amount", "card_number"),
+    "ANALYST_ROLE": ("round(amount, -2)", "right(card_number::varchar, 4)::bigint"),
+    "AUDITOR_ROLE": (ladder("amount", privacy.RANGE_VALUES, privacy.LOWEST_VALUE), "0"),
+    "PUBLIC": ("0", "0"),
+}
+MASKED_SQL = " UNION ALL ".join(
+    f"SELECT '{role}' AS role, transaction_id, ({amount})::decimal(18,2) AS amount, ({card})::bigint AS card_number FROM cards"
+    for role, (amount, card) in SEEN.items()
+)
 
 
 @on_cards(
