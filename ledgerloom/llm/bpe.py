@@ -14,6 +14,7 @@ each; an empty table gives no rows. The vocabulary file is read on the executors
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 from collections.abc import Iterator
@@ -131,7 +132,16 @@ class Codec:
             start = end + 1
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text."""
+        """Ids of each text. Only plain lists are made, no cycles, so the collector need not look at them."""
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
         parts = []  # per text: lists of pre-tokens, with the ids of special tokens between them
         for text in texts:
             if self.cut is None or not (found := list(self.cut.finditer(text))):
@@ -178,8 +188,8 @@ def _ids_column(ids: list[list[int]]) -> pa.Array:
     lengths = [0]
     for x in ids:
         lengths.append(lengths[-1] + len(x))
-    flat = pa.array(chain.from_iterable(ids), pa.int32(), size=lengths[-1])
-    return pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), flat)
+    flat = np.fromiter(chain.from_iterable(ids), np.int32, lengths[-1])
+    return pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))
 
 
 def _run(docs: DataFrame, path: str, wanted: tuple[str, ...]) -> DataFrame:
