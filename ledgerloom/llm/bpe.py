@@ -27,10 +27,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import whole_text
+from ledgerloom.llm.common import small_batches, whole_text
 
-SLICE_CHARS = 2_000_000
-CACHE = 400_000
+SLICE_CHARS = 1_000_000
+CACHE = 250_000
 WALL, GONE = -1, -2  # between pre-tokens; merged into its left neighbour
 SHIFT = 24
 MASK = (1 << SHIFT) - 1
@@ -193,6 +193,7 @@ def _ids_column(ids: list[list[int]]) -> pa.Array:
 
 
 def _run(docs: DataFrame, path: str, wanted: tuple[str, ...]) -> DataFrame:
+    small_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     source = docs.select("doc_id", whole_text().alias("text"))
 
@@ -220,6 +221,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
     """doc_id, decoded: the text of each list of ids (null: empty); ids that do not exist are an error."""
+    small_batches(tokens.sparkSession)
     id_type = tokens.schema["doc_id"].dataType.simpleString()
     source = tokens.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
 

@@ -30,6 +30,17 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 
 
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold at most BATCH_ROWS rows: whole texts go to Python, so ten times as many rows (the
+    default) would be some hundred MB in the JVM and again in each worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: computed once, and safe from lost executors."""
     spark = df.sparkSession

@@ -33,13 +33,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import sole, whole_text
+from ledgerloom.llm.common import small_batches, sole, whole_text
 from ledgerloom.llm.shingles import WORDS, shingle_hashes, words_of
 
 SIMILARITY = 0.8
 BLOCKS, NEAR, RADIUS = 6, 2, 17
 SLICE_ITEMS, SLICE_BYTES = 20_000, 32 << 20
-CACHE = 400_000
+CACHE = 250_000
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _BITS = np.arange(64, dtype=np.uint64)
 
@@ -189,6 +189,7 @@ def _items(rows: tuple[tuple[object, str], ...]) -> Items:
 
 
 def _one_slice(docs: DataFrame, rows: tuple[tuple[object, str], ...], schema: str) -> DataFrame:
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(rows)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,6 +19,7 @@ from ledgerloom.llm.common import one_space, stored, whole_text, without
 
 PREFIX = 256
 BUCKETS = 1 << 18
+HOT = 1000
 
 
 def _bucket(length: Column, prefix: Column) -> Column:
@@ -64,8 +65,12 @@ def exact_copies(docs: DataFrame, digest: bool = False) -> DataFrame:
     groups = (
         rows.where("whole IS NOT NULL").groupBy(*key).agg(first, F.count("*").alias("group_size")).where("group_size > 1")
     )
-    # A group has one row on the right, so adaptive execution can cut a hot group's rows on the left.
-    return rows.join(groups, key, "left").select(
+    groups = stored(groups, "dedup-groups")
+    # Groups with over 1/HOT of all rows, fewer than HOT of them, are joined by broadcast where their rows lie.
+    hot = F.broadcast(groups.where(F.col("group_size") * HOT > rows.count()))
+    cold = rows.join(hot, key, "left_anti").join(groups, key, "left")
+    joined = cold.unionByName(rows.join(hot, key))
+    return joined.select(
         "doc_id",
         F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stored, whole_text
+from ledgerloom.llm.common import small_batches, stored, whole_text
 from ledgerloom.llm.components import components
 from ledgerloom.llm.shingles import WordHashes, shingle_hashes, words_of
 
@@ -86,6 +86,7 @@ def _sets(docs: DataFrame, whole: bool) -> DataFrame:
                     ["doc_id", "n", "h1", "h2", "hashes"],
                 )
 
+    small_batches(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     return source.mapInArrow(work, "doc_id long, n long, h1 long, h2 long, hashes array<long>")
 

@@ -27,7 +27,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stored, whole_text
+from ledgerloom.llm.common import small_batches, stored, whole_text
 from ledgerloom.llm.shingles import words_of
 
 BUCKETS = 1 << 20
@@ -37,7 +37,7 @@ LEAST_DOCS = 5
 ROUNDS = 3
 SURE = 0.98
 REJECT_BELOW = 0.3  # clean documents are dearer than junk
-CACHE = 300_000
+CACHE = 150_000
 VIEWS = ("text_view", "page_view")
 META = ("lang", "source", "n_chars")
 
@@ -91,6 +91,7 @@ def page_features(text: str, words: list[bytes], lang, source, n_chars) -> set[i
 
 def _columns(docs: DataFrame, *keep: str) -> DataFrame:
     """The kept columns, the text and the metadata, each null where the table has no such column."""
+    small_batches(docs.sparkSession)
     have = set(docs.columns)
     meta = [
         F.expr(f"try_cast(`{c}` AS {'long' if c == 'n_chars' else 'string'})").alias(f"__{c}")

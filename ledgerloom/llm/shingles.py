@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 WORDS = 5
-CACHE = 400_000
+CACHE = 250_000
 _FACTORS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64
 )

@@ -26,7 +26,7 @@ from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stored, whole_text
+from ledgerloom.llm.common import small_batches, stored, whole_text
 from ledgerloom.llm.shingles import words_of
 
 BUCKETS = 1 << 20
@@ -34,7 +34,7 @@ SAMPLE = 20_000
 TERMS = 1_024
 LEAST_DOCS = 8
 REGULAR, ITERATIONS = 1e-2, 120
-CACHE = 400_000
+CACHE = 250_000
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -78,6 +78,7 @@ class Machine:
 
 def _bucketed(docs: DataFrame, *keep: str) -> DataFrame:
     """The kept columns and the distinct buckets of each text."""
+    small_batches(docs.sparkSession)
     source = docs.select(*keep, whole_text().alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,6 +132,7 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     """doc_id, score (0 to 1) of every whole text."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     source = docs.select("doc_id", whole_text().alias("text"))
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(machine)  # at most TERMS rows
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
