@@ -35,6 +35,7 @@ SAMPLE, POOL = 16_000, 8_000
 TERMS = 1_024
 LEAST_DOCS = 5
 ROUNDS = 3
+FIT_TASKS = 2
 SURE = 0.98
 REJECT_BELOW = 0.3  # clean documents are dearer than junk
 CACHE = 150_000
@@ -211,13 +212,14 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Scorer:
 
         return vector(view).alias(view)
 
-    ready = stored(rows.select("label", "held", *(vectors(v) for v in VIEWS)), "quality-vectors")
+    # A bounded table that every iteration of every fit reads: two partitions keep the small jobs short.
+    ready = stored(rows.select("label", "held", *(vectors(v) for v in VIEWS)).coalesce(FIT_TASKS), "quality-vectors")
     seen, pool, held = ready.where("label IS NOT NULL AND NOT held"), ready.where("label IS NULL"), ready.where("label IS NOT NULL AND held")
     fitted, taught = {}, {view: seen for view in VIEWS}
     for turn in range(rounds):
         for view in VIEWS:
             regression = LogisticRegression(
-                featuresCol=view, labelCol="label", regParam=0.01, maxIter=25,
+                featuresCol=view, labelCol="label", regParam=0.01, maxIter=15,
                 predictionCol=f"{view}_label", probabilityCol=f"{view}_p", rawPredictionCol=f"{view}_raw",
             )
             fitted[view] = regression.fit(taught[view].select("label", view))
@@ -231,7 +233,7 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Scorer:
         both = fitted[view].transform(both)
     margins = both.select("label", *(vector_to_array(f"{v}_raw")[1].alias(v) for v in VIEWS))
     pair = F.udf(lambda a, b: Vectors.dense(a, b), VectorUDT())
-    mix = LogisticRegression(labelCol="label", regParam=0.001, maxIter=50).fit(
+    mix = LogisticRegression(labelCol="label", regParam=0.001, maxIter=20).fit(
         margins.select("label", pair(*VIEWS).alias("features"))
     )
     views = {v: View(known[v], fitted[v].coefficients.toArray(), fitted[v].intercept) for v in VIEWS}

@@ -122,9 +122,11 @@ def train(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Machine:
         at = empty.places(np.asarray(buckets, np.int64))
         return Vectors.sparse(len(known), at.tolist(), [1.0] * len(at))
 
+    # A bounded table that every iteration reads: two partitions keep the small jobs short.
+    vectors = stored(rows.select("label", features("buckets").alias("features")).coalesce(2), "toxicity-vectors")
     machine = FMClassifier(
         factorSize=4, initStd=0.1, stepSize=0.1, regParam=REGULAR, maxIter=ITERATIONS, solver="adamW", seed=seed
-    ).fit(rows.select("label", features("buckets").alias("features")))
+    ).fit(vectors)
     return Machine(known, machine.intercept, machine.linear.toArray(), machine.factors.toArray())
 
 
