@@ -333,7 +333,7 @@ on_cards(
 
 # No SQL twin: unordered samples.
 on_cards("card_sample")(relational.sample_rows)
-on_cards("masking_samples")(privacy.masking_samples)
+on_cards("masking_samples")(lambda cards: privacy.masking_samples(_loaded(cards)))
 
 
 @on_cards(
