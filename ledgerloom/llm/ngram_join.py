@@ -39,7 +39,7 @@ from ledgerloom.llm.components import components
 from ledgerloom.llm.shingles import WordHashes, shingle_hashes, words_of
 
 JACCARD = Fraction(4, 5)
-REGION = Fraction(1, 20)
+REGION = Fraction(1, 10)
 FAMILY, FAMILY_HASHES = 1500, 2_000_000  # sets and their hashes that one task compares
 TILE, TILE_HASHES = 750, 1_000_000  # the same for each side of a tile
 BROADCAST_IDS = 1_000_000  # 16 MB of ids at most; more are joined by shuffle
