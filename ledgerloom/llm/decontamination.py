@@ -1,15 +1,15 @@
-"""Benchmark passages in documents: SimHash of item-sized windows, multi-index Hamming search, exact check.
+"""Benchmark passages in documents: item-sized windows around rare shared shingles, exact check.
 
-An item of w words is sought in all windows of w words (a step of one word) of every whole text. A window's
-64-bit SimHash is summed over its weighted shingles; the items' fingerprints are indexed by ``BLOCKS`` blocks
-of bits, each with all values up to ``NEAR`` flipped bits, so every item within ``RADIUS`` bits is found
-(RADIUS < BLOCKS * (NEAR + 1)). Candidates are then checked exactly: weighted Jaccard similarity of shingles,
-the sum of smaller weights over the sum of larger ones, at least ``SIMILARITY``. A shingle weighs its number
-of occurrences divided by the number of items that hold it, so stock phrases of the benchmark count less.
+An item of w words is sought in all windows of w words (a step of one word) of every whole text. A window
+matches by weighted Jaccard similarity of shingles, the sum of smaller weights over the sum of larger ones, of
+at least ``SIMILARITY``. A shingle weighs its number of occurrences divided by the number of items of the whole
+benchmark that hold it, so stock phrases count less; one that no item holds weighs 1.
 
-A window that shares no shingle with an item has similarity 0, so only windows around shared shingles are
-fingerprinted; that is exact. At a similarity of 0.8 about 9.7 of 64 bits differ (deviation 2.9), so the
-radius of 17 loses under 1 % of windows that lie right at the limit and practically none above 0.85.
+The search is exact, whatever the weights. A match holds at least ``SIMILARITY`` of the item's own weight, so it
+holds one of any shingles that together weigh more than the rest: the item's rarest ones are its anchors, and
+only windows around an anchor are looked at. Running sums bound the similarity of each such window from above,
+and the windows within the bound are checked. (SimHash with a fixed radius, the former filter, fits equal
+weights only. Fingerprints and their Hamming index are built on demand for ``Items.within``.)
 
 Words are runs of non-space, lower-cased in ASCII, without surrounding ASCII punctuation. Items travel to the
 tasks in slices of at most ``SLICE_ITEMS`` items and ``SLICE_BYTES`` bytes, one pass over the documents each.
@@ -24,7 +24,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -88,9 +88,13 @@ class Gate(dict):
 
 
 class Items:
-    """The items of one slice: their shingles, weights, fingerprints and block index."""
+    """The items of one slice: their shingles, weights and anchors.
 
-    def __init__(self, rows: tuple[tuple[object, str], ...]):
+    ``shared`` has the shingles that several items of the whole benchmark hold, in order, and their numbers of
+    items; without it the rows are the whole benchmark.
+    """
+
+    def __init__(self, rows: tuple[tuple[object, str], ...], shared: tuple[np.ndarray, np.ndarray] | None = None):
         self.known: dict[bytes, int] = {}
         self.ids, self.sizes, parts = [], [], []
         for item_id, text in rows:
@@ -100,26 +104,51 @@ class Items:
                 self.ids.append(item_id)
                 self.sizes.append(len(words))
                 parts.append(shingle_hashes(np.array([self.known[w] for w in words], np.uint64)))
-        held = Counter(s for p in parts for s in set(p.tolist()))
-        self.weight = {s: 1.0 / n for s, n in held.items()}
+        if shared is None:
+            held = Counter(s for p in parts for s in set(p.tolist()))
+            many = sorted((s, n) for s, n in held.items() if n > 1)
+            shared = (np.array([s for s, _ in many], np.uint64), np.array([n for _, n in many], np.int64))
+        self.shared, self.shared_weight = shared[0], 1.0 / shared[1]
+        self.parts = parts
         self.bags = [Counter(p.tolist()) for p in parts]
+        self.totals = [float(self._weights(p).sum()) for p in parts]
         self.holders: dict[int, list[int]] = {}
-        for i, bag in enumerate(self.bags):
-            for s in bag:
+        for i, part in enumerate(parts):
+            for s in self._anchors(part, self.totals[i]):
                 self.holders.setdefault(s, []).append(i)
         self.shingles = np.array(sorted(self.holders), np.uint64)
         self.lengths = sorted(set(min(s, WORDS) for s in self.sizes))
-        self.prints = [int(fingerprints(p, self._weights(p), len(p))[0]) for p in parts]
-        self.index: list[dict[int, list[int]]] = [{} for _ in range(BLOCKS)]
-        for b, found in enumerate(self.index):
+        self.gate = Gate(self.known)
+
+    def _weights(self, shingles: np.ndarray) -> np.ndarray:
+        out = np.ones(len(shingles))
+        if len(self.shared):
+            place = np.minimum(np.searchsorted(self.shared, shingles), len(self.shared) - 1)
+            hit = self.shared[place] == shingles
+            out[hit] = self.shared_weight[place[hit]]
+        return out
+
+    def _anchors(self, shingles: np.ndarray, total: float) -> list[int]:
+        """The rarest shingles of an item that together weigh more than a match may lack."""
+        own, counts = np.unique(shingles, return_counts=True)
+        weights = self._weights(own)
+        order = np.argsort(-weights, kind="stable")
+        sums = np.cumsum((weights * counts)[order])
+        return own[order[: int(np.searchsorted(sums, (1 - SIMILARITY + 1e-9) * total, "right")) + 1]].tolist()
+
+    @cached_property
+    def prints(self) -> list[int]:
+        return [int(fingerprints(p, self._weights(p), len(p))[0]) for p in self.parts]
+
+    @cached_property
+    def index(self) -> list[dict[int, list[int]]]:
+        index: list[dict[int, list[int]]] = [{} for _ in range(BLOCKS)]
+        for b, found in enumerate(index):
             masks = _near_masks(64 * (b + 1) // BLOCKS - 64 * b // BLOCKS)
             for i, fingerprint in enumerate(self.prints):
                 for mask in masks:
                     found.setdefault(_block(fingerprint, b) ^ mask, []).append(i)
-        self.gate = Gate(self.known)
-
-    def _weights(self, shingles: np.ndarray) -> np.ndarray:
-        return np.array([self.weight.get(s, 1.0) for s in shingles.tolist()])
+        return index
 
     def within(self, fingerprint: int) -> set[int]:
         """Items whose fingerprint differs in at most RADIUS bits."""
@@ -128,10 +157,11 @@ class Items:
             near.update(found.get(_block(fingerprint, b), ()))
         return {i for i in near if (self.prints[i] ^ fingerprint).bit_count() <= RADIUS}
 
-    def similarity(self, item: int, shingles: list[int]) -> float:
-        bag, own = Counter(shingles), self.bags[item]
-        both = sum(min(n, own[s]) * self.weight[s] for s, n in bag.items() if s in own)
-        total = sum(n * self.weight.get(s, 1.0) for s, n in bag.items()) + sum(n * self.weight[s] for s, n in own.items())
+    def similarity(self, item: int, shingles: np.ndarray) -> float:
+        bag, own = Counter(shingles.tolist()), self.bags[item]
+        weight = dict(zip(bag, self._weights(np.array(list(bag), np.uint64)).tolist(), strict=True))
+        both = sum(min(n, own[s]) * weight[s] for s, n in bag.items() if s in own)
+        total = sum(n * weight[s] for s, n in bag.items()) + self.totals[item]
         return both / (total - both)
 
     def matches(self, text: str) -> dict[int, tuple[float, int]]:
@@ -152,48 +182,77 @@ class Items:
             at = at[self.shingles[place] == grams[at]]
             if not len(at):
                 continue
-            starts: dict[int, list[tuple[int, int]]] = {}  # words of the item -> ranges of window starts
+            starts: dict[int, list[tuple[int, int]]] = {}  # item -> ranges of window starts
             for p, s in zip(at.tolist(), grams[at].tolist(), strict=True):
-                for size in {self.sizes[i] for i in self.holders[s] if min(self.sizes[i], WORDS) == length}:
+                for i in self.holders[s]:
+                    size = self.sizes[i]
                     low, high = max(0, p - size + length), min(p, len(words) - size)
-                    if low <= high:
-                        ranges = starts.setdefault(size, [])
+                    if min(size, WORDS) == length and low <= high:
+                        ranges = starts.setdefault(i, [])
                         if ranges and low <= ranges[-1][1] + 1:
                             ranges[-1] = (ranges[-1][0], max(high, ranges[-1][1]))
                         else:
                             ranges.append((low, high))
+            if not starts:
+                continue
             if own_hashes is None:
                 own_hashes = gated.copy()
-                for j in np.flatnonzero(gated == 0).tolist() if starts else ():
+                for j in np.flatnonzero(gated == 0).tolist():
                     own_hashes[j] = _hash(_bare(words[j]))
-            for size, ranges in starts.items():
+            shingles = shingle_hashes(own_hashes, length)
+            weights = self._weights(shingles)
+            for i, ranges in starts.items():
+                window = self.sizes[i] - length + 1
                 for low, high in ranges:
-                    self._search(own_hashes[low : high + size], low, size, length, best)
+                    self._search(i, shingles[low : high + window], weights[low : high + window], window, low, best)
         return best
 
-    def _search(self, hashes: np.ndarray, low: int, size: int, length: int, best: dict[int, tuple[float, int]]) -> None:
-        shingles = shingle_hashes(hashes, length)
-        window = size - length + 1
-        listed = shingles.tolist()
-        for k, fingerprint in enumerate(fingerprints(shingles, self._weights(shingles), window).tolist()):
-            for item in self.within(fingerprint):
-                if self.sizes[item] == size:
-                    found = self.similarity(item, listed[k : k + window])
-                    if found >= SIMILARITY - 1e-12 and found > best.get(item, (0.0, 0))[0]:
-                        best[item] = (found, low + k)
+    def _search(
+        self, item: int, shingles: np.ndarray, weights: np.ndarray, window: int, low: int, best: dict[int, tuple[float, int]]
+    ) -> None:
+        bag, total = self.bags[item], self.totals[item]
+        held = np.fromiter((s in bag for s in shingles.tolist()), bool, len(shingles))
+        sums = np.zeros((2, len(shingles) + 1))
+        np.cumsum((weights, weights * held), axis=1, out=sums[:, 1:])
+        whole, own = sums[:, window:] - sums[:, :-window]
+        own = np.minimum(own, total)
+        bound = own / (whole + total - own) + 1e-9  # not below the similarity of any window
+        for k in np.flatnonzero(bound >= SIMILARITY).tolist():
+            if bound[k] > best.get(item, (0.0, 0))[0]:
+                found = self.similarity(item, shingles[k : k + window])
+                if found >= SIMILARITY - 1e-12 and found > best.get(item, (0.0, 0))[0]:
+                    best[item] = (found, low + k)
 
 
 @lru_cache(maxsize=2)
-def _items(rows: tuple[tuple[object, str], ...]) -> Items:
-    return Items(rows)
+def _items(rows: tuple[tuple[object, str], ...], shared: bytes, counts: bytes) -> Items:
+    return Items(rows, (np.frombuffer(shared, np.uint64), np.frombuffer(counts, np.int64)))
+
+
+def _shared(items: DataFrame) -> tuple[bytes, bytes]:
+    """The shingles that more than one item of the whole benchmark holds, in order, and their numbers of items."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                hashes = np.array([_hash(_bare(w)) for w in words_of(text)], np.uint64)
+                own = np.unique(shingle_hashes(hashes)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64())], ["shingle"])
+
+    small_batches(items.sparkSession)
+    held = items.select("text").mapInArrow(work, "shingle long").groupBy("shingle").agg(F.count("*").alias("c"))
+    found = held.where("c > 1").toArrow()
+    shingles = found.column("shingle").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(shingles)
+    return shingles[order].tobytes(), found.column("c").to_numpy().astype(np.int64)[order].tobytes()
 
 
-def _one_slice(docs: DataFrame, rows: tuple[tuple[object, str], ...], schema: str) -> DataFrame:
+def _one_slice(docs: DataFrame, rows: tuple[tuple[object, str], ...], counts: tuple[bytes, bytes], schema: str) -> DataFrame:
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(rows)
+    shared = docs.sparkSession.sparkContext.broadcast((rows, *counts))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = _items(shared.value)
+        items = _items(*shared.value)
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for n, text in enumerate(batch.column("text").to_pylist()):
@@ -213,7 +272,8 @@ def _one_slice(docs: DataFrame, rows: tuple[tuple[object, str], ...], schema: st
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity, start_word, n_words: the best window of each item found in a document.
 
-    item_id must be a whole number. The slices of the benchmark are collected one by one, within both bounds.
+    item_id must be a whole number. Shingles that several items hold are counted over the whole benchmark and go to
+    every slice (16 bytes each). The slices of the benchmark are collected one by one, within both bounds.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), whole_text().alias("text"))
     count, size = sole(items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))))
@@ -221,10 +281,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, item_id long, similarity double, start_word long, n_words long"
     source = docs.select("doc_id", whole_text().alias("text"))
+    counts = _shared(items)
     found = None
     for k in range(slices):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k)
         rows = tuple((r["item_id"], r["text"]) for r in part.collect())
-        one = _one_slice(source, rows, schema)
+        one = _one_slice(source, rows, counts, schema)
         found = one if found is None else found.unionByName(one)
     return found

@@ -147,6 +147,30 @@ def test_leaks_in_slices_and_empty_tables(make_docs, spark, monkeypatch):
     assert decontamination.contaminated(make_docs(rows), benchmark.limit(0)).count() == 0
 
 
+def test_items_that_share_shingles_are_found_in_any_slicing(make_docs, spark, monkeypatch):
+    draw = random.Random(8)
+    vocabulary = [f"v{i}" for i in range(5000)]
+    text = lambda n: [draw.choice(vocabulary) for _ in range(n)]
+    items, rows = [], []
+    for holders in (1, 2, 5, 10):
+        for _ in range(4):
+            passage = text(40 * holders)  # one changed word leaves a weighted similarity of about 0.8
+            own = len(items)
+            items += [(own + k, " ".join(passage + text(2))) for k in range(holders)]
+            for _ in range(3):
+                words = items[own][1].split()
+                for at in draw.sample(range(5, len(words) - 5), draw.choice([1, 1, 2])):
+                    words[at] = "changed"
+                rows.append((len(rows), " ".join(text(20) + words + text(20))))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = {k: (round(s, 9), at) for k, (s, at) in brute_leaks(rows, items).items()}
+    assert len(want) > 60 and sum(s < 0.83 for s, _ in want.values()) > 20
+    for slice_items in (20_000, 24):  # one slice and six
+        monkeypatch.setattr(decontamination, "SLICE_ITEMS", slice_items)
+        out = decontamination.contaminated(make_docs(rows), benchmark).collect()
+        assert {(r.doc_id, r.item_id): (round(r.similarity, 9), r.start_word) for r in out} == want
+
+
 def test_query_finds_the_planted_passages(spark, sf_dir):
     docs, items = (
         [(r[0], " ".join(bare(r.text))) for r in spark.read.parquet(f"{sf_dir}/{t}.parquet").collect()]
