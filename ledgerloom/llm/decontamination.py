@@ -1,6 +1,7 @@
 """Benchmark passages in documents: item-sized windows around rare shared shingles, exact check.
 
-An item of w words is sought in all windows of w words (a step of one word) of every whole text. A window
+An item of w words is sought in all windows of w words (a step of one word) of every whole text, and in a text
+of fewer words as one window. A window
 matches by weighted Jaccard similarity of shingles, the sum of smaller weights over the sum of larger ones, of
 at least ``SIMILARITY``. A shingle weighs its number of occurrences divided by the number of items of the whole
 benchmark that hold it, so stock phrases count less; one that no item holds weighs 1.
@@ -185,9 +186,9 @@ class Items:
             starts: dict[int, list[tuple[int, int]]] = {}  # item -> ranges of window starts
             for p, s in zip(at.tolist(), grams[at].tolist(), strict=True):
                 for i in self.holders[s]:
-                    size = self.sizes[i]
+                    size = min(self.sizes[i], len(words))
                     low, high = max(0, p - size + length), min(p, len(words) - size)
-                    if min(size, WORDS) == length and low <= high:
+                    if min(self.sizes[i], WORDS) == length and low <= high:
                         ranges = starts.setdefault(i, [])
                         if ranges and low <= ranges[-1][1] + 1:
                             ranges[-1] = (ranges[-1][0], max(high, ranges[-1][1]))
@@ -202,7 +203,7 @@ class Items:
             shingles = shingle_hashes(own_hashes, length)
             weights = self._weights(shingles)
             for i, ranges in starts.items():
-                window = self.sizes[i] - length + 1
+                window = min(self.sizes[i], len(words)) - length + 1
                 for low, high in ranges:
                     self._search(i, shingles[low : high + window], weights[low : high + window], window, low, best)
         return best
@@ -256,8 +257,11 @@ def _one_slice(docs: DataFrame, rows: tuple[tuple[object, str], ...], counts: tu
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for n, text in enumerate(batch.column("text").to_pylist()):
-                for item, (similarity, start) in items.matches(text).items():
-                    for column, value in zip(out, (n, items.ids[item], similarity, start, items.sizes[item]), strict=True):
+                found = items.matches(text)
+                most = len(words_of(text)) if found else 0
+                for item, (similarity, start) in found.items():
+                    size = min(items.sizes[item], most)
+                    for column, value in zip(out, (n, items.ids[item], similarity, start, size), strict=True):
                         column.append(value)
             ids = batch.column("doc_id").take(pa.array(out[0], pa.int64()))
             item_ids = pa.array(out[1], pa.int64() if all(isinstance(x, int) or x is None for x in out[1]) else pa.string())
@@ -270,7 +274,8 @@ def _one_slice(docs: DataFrame, rows: tuple[tuple[object, str], ...], counts: tu
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, similarity, start_word, n_words: the best window of each item found in a document.
+    """doc_id, item_id, similarity, start_word, n_words: the best window of each item found in a document
+    (n_words: the words of the window).
 
     item_id must be a whole number. Shingles that several items hold are counted over the whole benchmark and go to
     every slice (16 bytes each). The slices of the benchmark are collected one by one, within both bounds.

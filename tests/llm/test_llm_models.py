@@ -171,6 +171,15 @@ def test_items_that_share_shingles_are_found_in_any_slicing(make_docs, spark, mo
         assert {(r.doc_id, r.item_id): (round(r.similarity, 9), r.start_word) for r in out} == want
 
 
+def test_a_text_shorter_than_an_item_is_one_window(make_docs, spark):
+    words = [f"w{k}" for k in range(59)]
+    benchmark = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    rows = [(1, " ".join(words[:58])), (2, " ".join(words[10:58])), (3, " ".join(words[:20])), (4, " ".join(words[:4]))]
+    out = decontamination.contaminated(make_docs(rows), benchmark).collect()
+    got = {r.doc_id: (round(r.similarity, 9), r.start_word, r.n_words) for r in out}
+    assert got == {1: (round(54 / 55, 9), 0, 58), 2: (0.8, 0, 48)}
+
+
 def test_query_finds_the_planted_passages(spark, sf_dir):
     docs, items = (
         [(r[0], " ".join(bare(r.text))) for r in spark.read.parquet(f"{sf_dir}/{t}.parquet").collect()]
