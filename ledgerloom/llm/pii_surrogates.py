@@ -12,7 +12,8 @@ Of parts that meet on one surrogate the smallest value keeps it, the others are
 attempt number, from ``WIDEN`` on with a longer form, until none is left.
 
 Only parts are shuffled and joined, then put back between the pieces of the texts that hold any; other texts
-pass untouched. Defined results: null texts stay null, empty texts empty, with no entities; repeated rows are
+pass untouched. A text with a run of digits that has no valid check digit is searched once more without that
+run as a card, so the phone or social security number in it is found. Defined results: null texts stay null, empty texts empty, with no entities; repeated rows are
 each replaced alike; columns other than the text pass through; an empty table gives no rows.
 """
 
@@ -41,6 +42,10 @@ _TITLES = "|".join((*FEMALE_TITLES, *MALE_TITLES, *NEUTRAL_TITLES))
 NAME = rf"(?<!\p{{L}})(?:(?:{_TITLES})\.?\x20{_WORD}(?:\x20{_WORD}){{0,2}}|(?:{'|'.join((*FEMALE_NAMES, *MALE_NAMES))})\x20{_WORD})"
 KINDS = (("email", EMAIL), ("ip", IP), ("ssn", SSN), ("phone", PHONE), ("card", CARD), ("name", NAME))
 ANY = "|".join(pattern for _, pattern in KINDS)
+# A mark stands before a run of digits that is no card, so the second search passes over it as a card only. Texts
+# that hold the mark's first character have it escaped, so a mark is always told from the text.
+_SIGN, _ESCAPED, _MARK = "\ue001", "\ue001\ue002", "\ue001\ue003"
+AGAIN = "|".join(rf"(?<!{_MARK}){pattern}" if name == "card" else pattern for name, pattern in KINDS)
 
 WIDEN = 4
 ROUNDS = 40
@@ -169,6 +174,24 @@ def _words(kind: Column, value: Column) -> Column:
     return F.when(kind == "name", F.transform(words, named)).otherwise(F.array(one(kind, value)))
 
 
+def _found(text: Column, pattern: str) -> tuple[Column, Column]:
+    """The pieces between the matches, and the matches with their kinds."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return F.split(text, pattern, -1), F.transform(found, lambda v: F.struct(v.alias("value"), _kind(v).alias("kind")))
+
+
+def _marked(pieces: Column, entities: Column) -> Column:
+    """The text with a mark before every refused run of digits."""
+    mark = lambda e: F.when(e["kind"].isNull(), F.lit(_MARK)).otherwise(F.lit(""))
+    match = lambda e: F.when(e.isNull(), F.lit("")).otherwise(F.concat(mark(e), e["value"]))
+    parts = F.zip_with(pieces, entities, lambda p, e: F.concat(F.replace(p, F.lit(_SIGN), F.lit(_ESCAPED)), match(e)))
+    return F.array_join(parts, "")
+
+
+def _unmarked(piece: Column) -> Column:
+    return F.replace(F.replace(piece, F.lit(_MARK), F.lit("")), F.lit(_ESCAPED), F.lit(_SIGN))
+
+
 def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with surrogates in its text, and two columns: n_entities and entity_kinds (kind: count pairs).
 
@@ -176,12 +199,21 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """
     own = [c for c in docs.columns if c not in ("text", "n_entities", "entity_kinds")]
     text = F.col("text").cast("string")
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    pieces, entities = _found(text, ANY)
     held = docs.where(text.rlike(ANY)).select(
         F.struct(*own).alias("own"),
         F.monotonically_increasing_id().alias("row"),
-        F.split(text, ANY, -1).alias("pieces"),
-        F.transform(found, lambda v: F.struct(v.alias("value"), _kind(v).alias("kind"))).alias("entities"),
+        pieces.alias("pieces"),
+        entities.alias("entities"),
+    )
+    refused = F.exists("entities", lambda e: e["kind"].isNull())
+    held = held.withColumn("again", F.when(refused, _marked(F.col("pieces"), F.col("entities"))))
+    pieces, entities = _found(F.col("again"), AGAIN)
+    held = held.select(
+        "own",
+        "row",
+        F.when(F.col("again").isNull(), F.col("pieces")).otherwise(F.transform(pieces, _unmarked)).alias("pieces"),
+        F.when(F.col("again").isNull(), F.col("entities")).otherwise(entities).alias("entities"),
     )
     held = stored(held, "pii-texts")
     parts = held.select("row", F.posexplode("entities").alias("n", "e"))
@@ -197,7 +229,9 @@ def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     entities = entities.groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("n", "new", "entity"))).alias("entities")
     )
-    rebuilt = held.drop("entities").join(entities, "row")
+    rebuilt = held.drop("entities").join(entities, "row", "left").withColumn(
+        "entities", F.coalesce("entities", F.array().cast(entities.schema["entities"].dataType))
+    )
     whole = F.array_join(
         F.zip_with("pieces", F.transform("entities", lambda e: e["new"]), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))),
         "",

@@ -142,6 +142,21 @@ def test_surrogates_keep_type_and_coreference(make_docs):
     assert all(other[i] != out[i].text for i in range(3, len(rows)))
 
 
+def test_a_refused_card_gives_up_the_numbers_in_it(make_docs):
+    texts = [
+        "CA 94105 415-555-2672 end", "id 12345 123-45-6789.", "no 94105 12345 415.555.2672 end", "of 1234567890123 45abc@x.org",
+        "run 1234567890123 only", "\ue001 94105 415-555-2672 \ue001\ue003 4111111111111112", "4111 1111 1111 1111 94105 415-555-2672",
+    ]
+    out = {r.doc_id: r for r in pii_surrogates.replace_entities(make_docs(list(enumerate(texts))), "k").collect()}
+    assert len(out) == len(texts)
+    assert [out[i].entity_kinds for i in range(6)] == ["phone:1", "ssn:1", "phone:1", "email:1", "", "phone:1"]
+    assert re.fullmatch(r"CA 94105 \d{3}-\d{3}-\d{4} end", out[0].text) and "415-555-2672" not in out[0].text
+    assert re.fullmatch(r"id 12345 9\d\d-\d\d-\d{4}\.", out[1].text)
+    assert out[4].text == texts[4]
+    assert re.fullmatch("\ue001 94105 \\d{3}-\\d{3}-\\d{4} \ue001\ue003 4111111111111112", out[5].text)
+    assert "415-555-2672" not in out[6].text
+
+
 def test_collisions_are_drawn_again(spark):
     parts = spark.createDataFrame([("given", c) for c in "abcdefghijklmnopqrstuvwxyz"] * 2, "kind string, value string")
     rows = pii_surrogates.assigned(parts, "k").collect()
