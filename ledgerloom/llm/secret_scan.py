@@ -6,6 +6,9 @@ is a candidate of kind random. Its encoding is inferred from its characters, and
 repeat symbols), runs of symbols in the upper or lower half, and serial correlation of neighbours (both
 two-sided). Three times the smallest p-value is the string's own (Bonferroni). A small one says: ordinary.
 
+A run that mixes signs of two encodings, or is too short for its own, is cut at ``/``, ``+``, ``-`` and ``_``,
+and every piece of ``LEAST_CHARS`` letters and digits is a candidate of its own.
+
 False discoveries are held down in two ways that look at length. Rejections are made by Benjamini-Hochberg at
 ``RATE`` within each band of lengths, so at most that share of the strings thrown away are keys. And a string
 too short for the tests to tell it from prose is no candidate: ``LEAST`` sets the length per encoding. The
@@ -32,6 +35,7 @@ HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 
 LEAST_CHARS = 24
+PIECE = rf"[A-Za-z0-9]{{{LEAST_CHARS},}}"  # between the signs of a run that has no encoding
 CANDIDATE = rf"[A-Za-z0-9+/_-]{{{LEAST_CHARS},}}={{0,2}}"
 LOWER, CAPITAL, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 # Encoding, pattern of the whole string, alphabet, least length; the first that fits is taken.
@@ -88,6 +92,27 @@ def _placed(found: DataFrame, kind: str) -> DataFrame:
     )
 
 
+def _least() -> Column:
+    """The least length of a candidate's encoding; null without one."""
+    least = F.lit(None)
+    for _, pattern, _, shortest in reversed(ENCODINGS):
+        least = F.when(F.col("value").rlike(pattern), F.lit(shortest)).otherwise(least)
+    return least
+
+
+def _cut(candidates: DataFrame) -> DataFrame:
+    """The candidates, and instead of those that no encoding takes their pieces of sufficient length."""
+    taken = F.coalesce(F.length(F.regexp_replace("value", "=+$", "")) >= _least(), F.lit(False))
+    pieces = candidates.where(~taken).withColumn("m", _pieces(F.col("value"), PIECE, 0, F.lit(True))).where("m IS NOT NULL")
+    each = pieces.select("row", "kind", F.col("begin").alias("at"), F.posexplode("m").alias("n", "m"))
+    each = each.select("row", "kind", "at", "n", "m.*")
+    before = Window.partitionBy("row", "at").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    size = F.coalesce("size", F.lit(0))
+    each = each.withColumn("stop", F.col("at") + F.sum(F.col("gap") + size).over(before)).where("size IS NOT NULL")
+    each = each.select("row", "kind", (F.col("stop") - F.col("size")).alias("begin"), "stop", "value")
+    return candidates.where(taken).unionByName(each)
+
+
 def _upper_tail(z: Column) -> Column:
     """P(Z > z) of the normal law for z >= 0, by a published polynomial with errors below 1e-7."""
     t = 1 / (1 + 0.2316419 * z)
@@ -166,7 +191,7 @@ def secret_spans(docs: DataFrame, rate: float = RATE) -> tuple[DataFrame, DataFr
     base = _placed(found, "assign").where("length(value) >= 8")
     base = base.unionByName(_placed(found, "access")).unionByName(_placed(found, "hex"))
     candidates = stored(_placed(found, "random"), "secret-candidates")
-    spans = base.unionByName(random_strings(candidates, rate), allowMissingColumns=True)
+    spans = base.unionByName(random_strings(_cut(candidates), rate), allowMissingColumns=True)
     same = Window.partitionBy("row", "begin", "stop")
     spans = spans.withColumn("first_kind", F.min("kind").over(same)).where("kind < 3 OR first_kind = 3")
     return found.select("doc_id", "row"), spans.select("row", "kind", "begin", "stop", "value", "encoding", "p")

@@ -57,6 +57,14 @@ def test_random_strings_are_told_from_ordinary_ones(make_docs):
     assert not any(s.kind == 3 for i in range(len(keys), len(rows)) for s in out[i])
 
 
+def test_runs_without_an_encoding_are_cut(make_docs):
+    key = "9fQ2xLr7TzWb4KcVu8JmNe3HsYpDa6Go"
+    texts = [f"https://api.example.com/v1/key-{key} end", f"a+b_{key}/x-{key[::-1]}==", f"x/y-{key[:10]}"]
+    out = {r.doc_id: r.found for r in secret_scan.scan(make_docs(list(enumerate(texts)))).collect()}
+    got = {i: [texts[i][s.begin : s.stop] for s in found if s.kind == 3] for i, found in out.items()}
+    assert got == {0: [key], 1: [key, key[::-1]], 2: []}
+
+
 def test_upper_tail_is_the_normal_law(spark):
     points = spark.createDataFrame([(x / 4,) for x in range(0, 24)], "z double")
     for r in points.select("z", secret_scan._upper_tail(F.col("z")).alias("p")).collect():
