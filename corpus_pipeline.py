@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, decontamination, exact_dedup, ngram_join, quality
-from ledgerloom.llm.common import stored, table, without
+from ledgerloom.llm.common import stored, table, whole_text, without
 from ledgerloom.llm.queries import vocabulary_path
 
 
@@ -21,15 +21,28 @@ def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the smallest id; rows without an id are no part of any group."""
-    groups = stored(ngram_join.similar_documents(docs), "pipeline-groups")
-    return without(docs, groups.where("doc_id <> component_id").select("doc_id"))
+    """Of each group of linked rows one with the smallest id; rows without an id are no part of any group."""
+    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    if repeated.isEmpty():
+        groups = stored(ngram_join.similar_documents(docs), "pipeline-groups")
+        return without(docs, groups.where("doc_id <> component_id").select("doc_id"))
+    # Rows that share an id are different documents here: each gets a key of its own.
+    rows = docs.where("doc_id IS NOT NULL").withColumn("__row", F.monotonically_increasing_id())
+    rows = stored(rows, "pipeline-rows")
+    groups = ngram_join.similar_documents(rows.select(F.col("__row").alias("doc_id"), "text"))
+    groups = stored(groups.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("group")), "pipeline-groups")
+    named = groups.join(rows.select("__row", "doc_id"), "__row")
+    first = named.groupBy("group").agg(F.min(F.struct("doc_id", "__row"))["__row"].alias("__row"))
+    kept = rows.join(first.select("__row"), "__row", "left_semi").select(*docs.columns)
+    return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window similar to a benchmark item."""
-    found = stored(decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")), "pipeline-leaks")
-    return without(docs, found.select("doc_id"))
+    """Documents that hold no window similar to a benchmark item; the text alone decides, not the id."""
+    digest = F.sha2(whole_text().cast("binary"), 256)
+    texts = docs.select(digest.alias("doc_id"), "text")
+    found = stored(decontamination.contaminated(texts, table(spark, sf_dir, "benchmark")), "pipeline-leaks")
+    return without(docs, found.select("doc_id"), digest)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,7 +54,8 @@ def sole(df: DataFrame) -> list:
     return list(df.first())
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is not in ``ids`` (one column doc_id; null matches null)."""
-    gone = ids.select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
+def without(docs: DataFrame, values: DataFrame, column: Column | None = None) -> DataFrame:
+    """Rows of ``docs`` whose doc_id, or ``column``, is not in ``values`` (one column; null matches null)."""
+    gone = values.toDF("__gone").distinct()
+    own = docs["doc_id"] if column is None else column
+    return docs.join(gone, own.eqNullSafe(gone["__gone"]), "left_anti")

@@ -202,6 +202,19 @@ def test_pipeline_stages(spark, sf_dir):
     assert {r.doc_id: r.decoded for r in last} == {r.doc_id: r.text for r in docs.collect()}
 
 
+def test_stages_decide_by_row(spark, make_docs, sf_dir):
+    item = max((r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()), key=len)
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    leaks = make_docs([(None, item), (None, a), (None, b), (3, item), (3, c), (4, a)])
+    kept = corpus_pipeline.without_benchmark(spark, leaks, sf_dir).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(0, a), (0, b), (3, c), (4, a)])
+    near = a.replace("a30", "other")
+    rows = make_docs([(2, a), (5, near), (5, b), (6, c), (6, c + " more"), (None, a)])
+    kept = corpus_pipeline.one_of_similar(spark, rows, sf_dir).collect()
+    got = sorted((r.doc_id or 0, r.text) for r in kept)
+    assert got[:3] == [(0, a), (2, a), (5, b)] and [i for i, _ in got[3:]] == [6]
+
+
 def test_pipeline_run(spark, sf_dir):
     import re
 
