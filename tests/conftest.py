@@ -1,15 +1,12 @@
 import datetime as dt
-import sys
 from decimal import Decimal
-from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
-
-from ledgerloom.schemas import CARD_TRANSACTIONS, CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS  # noqa: E402
-from ledgerloom.session import build_session  # noqa: E402
-from ledgerloom.sources.bindings import Retail  # noqa: E402
+from ledgerloom.schemas import CARD_TRANSACTIONS, CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS
+from ledgerloom.session import build_session
+from ledgerloom.sources.bindings import Retail
+from support import at
 
 
 @pytest.fixture(scope="session")
@@ -30,14 +27,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def at(text: str) -> dt.datetime:
-    return dt.datetime.fromisoformat(text)
-
-
-def tuples(df):
-    return sorted((tuple(r) for r in df.collect()), key=repr)
-
-
 ORDER_ROWS = [
     # id, customer, date, status, channel, store
     ("o1", "c1", at("2024-01-01 10:00:00"), "delivered", "online", None),

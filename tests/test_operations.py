@@ -4,7 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import at, tuples
+from support import at, tuples
 from ledgerloom.operators import alerts, cost, lineage, monitoring, relational
 from ledgerloom.schemas import ALERT_HISTORY, COST_METRICS, LINEAGE, LOAD_LOG, RUN_HISTORY, USAGE
 

@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at
+from support import at
 from ledgerloom.functions.scalars import anonymous_number
 from ledgerloom.operators import privacy as ops
 from ledgerloom.schemas import RETENTION_POLICY

@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, tuples
+from support import at, tuples
 from ledgerloom.operators import facts, integrity, quality as ops, relational
 from ledgerloom.schemas import QUALITY_METRICS
 

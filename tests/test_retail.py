@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, tuples
+from support import at, tuples
 from ledgerloom.operators import facts, retail as ops, rfm
 
 

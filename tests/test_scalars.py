@@ -3,7 +3,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import at
+from support import at
 from ledgerloom.functions import scalars as s
 
 

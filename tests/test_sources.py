@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, tuples
+from support import at, tuples
 from ledgerloom.operators.facts import typed_cards
 from ledgerloom.schemas import CARD_JSON, SUPPORT_ORDERS
 from ledgerloom.schemas import LONG, TEXT, struct

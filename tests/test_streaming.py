@@ -4,7 +4,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, tuples
+from support import at, tuples
 from ledgerloom.schemas import CARD_TRANSACTIONS, CUSTOMERS, LONG, ORDER_ITEMS, ORDERS, PRODUCTS, TEXT, struct
 from ledgerloom.streaming import alerts, changes, runs, topics
 from test_sources import document
