@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontamination, exact_dedup, license_scan, ngram_join, pii_surrogates, quality, secret_scan, sharding, toxicity
+from ledgerloom.llm import bpe, decontamination, exact_dedup, license_scan, ngram_join, pii_surrogates, quality, secret_scan, sharding, token_counts, toxicity
 from ledgerloom.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -103,6 +103,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({"licenses": F.array_join("licenses", ","), "best": F.round("best", 6)})
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path(), limit=1024)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -114,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_licenses": op10_licenses,
+    "op12_token_counts": op12_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {"op8_exact_dedup": OP8_SQL}
