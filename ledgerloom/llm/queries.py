@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontamination, exact_dedup, license_scan, ngram_join, pii_surrogates, quality, secret_scan, sharding, token_counts, toxicity
-from ledgerloom.llm.common import table
+from ledgerloom.llm import bpe, decontamination, exact_dedup, license_scan, merkle, ngram_join, pii_surrogates, quality, secret_scan, sharding, token_counts, toxicity
+from ledgerloom.llm.common import ascii_lower, table
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -103,6 +103,75 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({"licenses": F.array_join("licenses", ","), "best": F.round("best", 6)})
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    claim = merkle.leaf_digest(*merkle.COLUMNS[:-1], ascii_lower(F.col("text")))
+    rows = merkle.manifest(table(spark, sf_dir, "documents"), carry={"claim": F.when(tampered, claim)})
+    back = merkle.folded(F.coalesce("claim", "leaf"), F.col("path"))
+    return rows.select(
+        "doc_id",
+        *(merkle.hexed(F.col(name)).alias(name) for name in ("leaf", "subroot", "root")),
+        merkle.hexed(merkle.digest_of(merkle.proof_bytes(F.col("path")))).alias("proof_sha256"),
+        merkle.hexed(back).alias("folded_root"),
+        (back == F.col("root")).alias("verified"),
+    )
+
+
+# The checksum of the decimal id, a byte at a time and a bit at a time; then the levels, and the way up from each leaf.
+OP11_SQL = """
+WITH RECURSIVE ids AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+      lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::bigint) ELSE x // 2 END)), 4294967295::bigint) % 3 = 0 AS tampered
+  FROM documents),
+parts AS (
+  SELECT doc_id, lang, text, tampered,
+    coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') AS head
+  FROM ids),
+leaves AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n,
+    sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(text) || ':' || CASE WHEN tampered
+      THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-')) AS claim
+  FROM parts),
+lower AS (
+  SELECT tree, 0 AS level, pos, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // 8, max((n + 7) // 8), sha256(string_agg(h, '' ORDER BY pos)) FROM lower
+  WHERE n > 1 GROUP BY tree, level, pos // 8),
+subroots AS (SELECT tree, h, count(*) OVER () AS n FROM lower WHERE n = 1),
+upper AS (
+  SELECT 0 AS level, tree AS pos, n, h FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 8, max((n + 7) // 8), sha256(string_agg(h, '' ORDER BY pos)) FROM upper
+  WHERE n > 1 GROUP BY level, pos // 8),
+nodes AS (
+  SELECT tree, level, pos, n, h FROM lower
+  UNION ALL SELECT -1, level, pos, n, h FROM upper),
+runs AS (
+  SELECT tree, level, pos // 8 AS run, list(h ORDER BY pos) AS hs FROM nodes WHERE n > 1 GROUP BY ALL),
+climb AS (
+  SELECT doc_id, leaf, tree AS own, CASE WHEN n = 1 THEN -1 ELSE tree END AS tree, 0 AS level, CASE WHEN n = 1 THEN tree ELSE pos END AS pos,
+    CASE WHEN n = 1 THEN (SELECT count(*) FROM subroots) ELSE n END AS n, claim AS h, '' AS proof
+  FROM leaves
+  UNION ALL
+  SELECT doc_id, leaf, own,
+    CASE WHEN c.n <= 8 THEN -1 ELSE c.tree END,
+    CASE WHEN c.n <= 8 AND c.tree >= 0 THEN 0 ELSE c.level + 1 END,
+    CASE WHEN c.n <= 8 AND c.tree >= 0 THEN c.tree ELSE c.pos // 8 END,
+    CASE WHEN c.n <= 8 AND c.tree >= 0 THEN (SELECT count(*) FROM subroots) ELSE (c.n + 7) // 8 END,
+    sha256(array_to_string(r.hs[:c.pos % 8], '') || c.h || array_to_string(r.hs[c.pos % 8 + 2:], '')),
+    proof || array_to_string(r.hs[:c.pos % 8], '') || array_to_string(r.hs[c.pos % 8 + 2:], '')
+  FROM climb c JOIN runs r ON r.tree = c.tree AND r.level = c.level AND r.run = c.pos // 8
+  WHERE c.n > 1),
+root AS (SELECT h AS root FROM upper WHERE n = 1)
+SELECT doc_id, leaf, s.h AS subroot, root, sha256(proof) AS proof_sha256, c.h AS folded_root, c.h = root AS verified
+FROM climb c JOIN subroots s ON s.tree = c.own, root WHERE c.tree = -1 AND c.n = 1
+"""
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path(), limit=1024)
 
@@ -118,7 +187,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_bpe": op9_bpe,
     "op10_licenses": op10_licenses,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op12_token_counts": op12_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_exact_dedup": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op8_exact_dedup": OP8_SQL, "op11_merkle_manifest": OP11_SQL}
