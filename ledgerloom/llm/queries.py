@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontamination, exact_dedup, license_scan, merkle, ngram_join, pii_surrogates, quality, secret_scan, sharding, token_counts, toxicity
+from ledgerloom.llm import bpe, decontamination, exact_dedup, lexical_search, license_scan, merkle, ngram_join, pii_surrogates, quality, secret_scan, sharding, token_counts, toxicity
 from ledgerloom.llm.common import ascii_lower, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -176,6 +176,34 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path(), limit=1024)
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+OP13_SQL = r"""
+WITH terms AS (
+  SELECT 'd' AS kind, doc_id AS id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+  UNION ALL
+  SELECT 'i', item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) FROM benchmark),
+sizes AS (SELECT id, count(*) AS n FROM terms WHERE kind = 'd' GROUP BY id),
+totals AS (SELECT count(*) AS docs, cast(sum(n) AS bigint) AS words FROM sizes),
+tf AS (SELECT id, term, count(*) AS tf FROM terms WHERE kind = 'd' AND term IN (SELECT term FROM terms WHERE kind = 'i') GROUP BY ALL),
+weight AS (
+  SELECT term, cast(floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1))) AS bigint) AS w
+  FROM tf, totals GROUP BY term, docs),
+impact AS (
+  SELECT id, term, (1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // words)) AS impact
+  FROM tf JOIN sizes USING (id), totals),
+scores AS (
+  SELECT i.id AS item_id, d.id AS doc_id, cast(sum(w * impact) AS bigint) AS score
+  FROM terms i JOIN weight USING (term) JOIN impact d USING (term) WHERE i.kind = 'i' GROUP BY ALL)
+SELECT item_id, cast(row_number() OVER best AS int) AS rank, doc_id, score FROM scores WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER best <= 10
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -189,6 +217,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licenses": op10_licenses,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_token_counts": op12_token_counts,
+    "op13_lexical_search": op13_lexical_search,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_exact_dedup": OP8_SQL, "op11_merkle_manifest": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op8_exact_dedup": OP8_SQL, "op11_merkle_manifest": OP11_SQL, "op13_lexical_search": OP13_SQL}
