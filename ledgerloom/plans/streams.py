@@ -83,21 +83,46 @@ def _(spark, folder):
     return spark.read.parquet(f"{base}/table")
 
 
+@register(
+    "stream_current_alerts",
+    sql(
+        "cards",
+        """SELECT start AS window_start, start + interval 15 minute AS window_end,
+    count(*) AS transactions, count(*) FILTER (amount > 5000) AS high_value_count,
+    cast(round(avg(CASE WHEN approved THEN 100.0::double ELSE 0.0::double END)) AS bigint) AS approval_rate,
+    count(*) FILTER (amount > 5000) > 0 AS high_value_alert,
+    round(avg(CASE WHEN approved THEN 100.0::double ELSE 0.0::double END)) < 80 AS approval_alert
+    FROM (SELECT *, unnest(generate_series(
+        cast(date_trunc('minute', transaction_timestamp) AS timestamp) - interval 14 minute,
+        cast(date_trunc('minute', transaction_timestamp) AS timestamp), interval 1 minute)) AS start
+      FROM cards) GROUP BY start""",
+    ),
+)
+def _(spark, folder):
+    """All windows, also those that later rows may still change."""
+    base = fresh_dir(spark, "current-alerts")
+    alerts.update_to(alerts.step_updates(card_stream(spark, folder)), f"{base}/steps", f"{base}/offsets").awaitTermination()
+    return alerts.current_alerts(spark, f"{base}/steps")
+
+
 @register(
     "stream_repeated_cards",
     sql(
         "cards",
-        """SELECT * FROM (SELECT cast(time_bucket(interval 30 minute, transaction_timestamp) AS timestamp)
-      AS window_start, card_number, count(*) AS occurrences FROM cards GROUP BY ALL HAVING count(*) > 1)
-    WHERE window_start + interval 30 minute
-      <= (SELECT max(transaction_timestamp) - interval 30 minute FROM cards)""",
+        """SELECT cast(time_bucket(interval 30 minute, transaction_timestamp) AS timestamp) AS window_start,
+      card_number, count(*) AS occurrences, count(*) FILTER (gap <= interval 30 minute) AS repeats
+    FROM (SELECT *, transaction_timestamp
+            - lag(transaction_timestamp) OVER (PARTITION BY card_number ORDER BY transaction_timestamp) AS gap
+          FROM cards)
+    GROUP BY ALL HAVING count(*) FILTER (gap <= interval 30 minute) > 0""",
     ),
 )
 def _(spark, folder):
+    """Cards that come again within 30 minutes of their previous row."""
     base = fresh_dir(spark, "repeated-cards")
     watch = alerts.duplicate_watch(card_stream(spark, folder), "card_number")
-    alerts.append_to(watch, f"{base}/table", f"{base}/offsets").awaitTermination()
-    return spark.read.parquet(f"{base}/table")
+    alerts.update_to(watch, f"{base}/table", f"{base}/offsets").awaitTermination()
+    return alerts.latest(spark, f"{base}/table", alerts.REPEATS, ["window_start", "card_number"])
 
 
 def line_messages(spark: SparkSession, folder: str) -> DataFrame:

@@ -214,12 +214,56 @@ def test_duplicates_stream(spark, make_cards, tmp_path):
     first = [{"transaction_id": 1, "transaction_timestamp": at("2024-01-31 10:01:00")}] * 2
     card_files(spark, make_cards, path, first, [{"transaction_id": 2, "transaction_timestamp": at("2024-01-31 12:00:00")}])
     stream = lambda: spark.readStream.schema(CARD_TRANSACTIONS).parquet(path)
-    alerts.append_to(alerts.duplicate_watch(stream()), str(tmp_path / "watch"), str(tmp_path / "o1")).awaitTermination()
-    assert [(r["transaction_id"], r["occurrences"]) for r in spark.read.parquet(str(tmp_path / "watch")).collect()] == [(1, 2)]
     alerts.append_to(alerts.deduplicated(stream()), str(tmp_path / "clean"), str(tmp_path / "o2")).awaitTermination()
     assert sorted(r["transaction_id"] for r in spark.read.parquet(str(tmp_path / "clean")).collect()) == [1, 2]
 
 
+def watched(spark, tmp_path, stream):
+    alerts.update_to(alerts.duplicate_watch(stream, "card_number"), str(tmp_path / "watch"), str(tmp_path / "o")).awaitTermination()
+    rows = alerts.latest(spark, str(tmp_path / "watch"), alerts.REPEATS, ["window_start", "card_number"]).collect()
+    return {(r["card_number"], r["window_start"].strftime("%H:%M")): (r["occurrences"], r["repeats"]) for r in rows}
+
+
+def test_repeats_across_an_edge_and_in_open_periods(spark, make_cards, tmp_path):
+    path = str(tmp_path / "cards")
+    seen = lambda key, *times: [{"card_number": key, "transaction_timestamp": at(f"2024-01-31 {t}")} for t in times]
+    early = seen(1, "10:29:30", "10:30:30") + seen(2, "10:29:00", "10:59:00") + seen(3, "10:29:00", "10:59:01")
+    early += seen(4, "10:05:00", "10:05:00", "10:06:00") + seen(5, "10:40:00")
+    late = seen(5, "10:20:00") + seen(6, "10:58:00", "10:59:00")  # one row earlier than what is known of its key
+    card_files(spark, make_cards, path, early, late)
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).schema(CARD_TRANSACTIONS).parquet(path)
+    assert watched(spark, tmp_path, stream) == {
+        (1, "10:30"): (1, 1),  # a minute apart, in two periods
+        (2, "10:30"): (1, 1),  # just near enough
+        (4, "10:00"): (3, 2),
+        (5, "10:30"): (1, 1),  # the earlier row came later
+        (6, "10:30"): (2, 1),  # the period is open
+    }
+
+
+def test_watermark_ends_the_state(spark, make_cards, tmp_path):
+    path = str(tmp_path / "cards")
+    hours = [[{"card_number": k, "transaction_timestamp": at(f"2024-01-31 {h:02d}:00:00")} for k in range(20)] for h in range(8)]
+    card_files(spark, make_cards, path, *hours)
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).schema(CARD_TRANSACTIONS).parquet(path)
+    query = alerts.update_to(alerts.duplicate_watch(stream, "card_number"), str(tmp_path / "w"), str(tmp_path / "o"))
+    query.awaitTermination()
+    kept = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert max(kept) <= 20 * 2 * 3  # two windows a row; at most three hours are open
+
+
+def test_open_windows_show_what_has_come(spark, make_cards, tmp_path):
+    path = str(tmp_path / "cards")
+    rows = [{"transaction_timestamp": at(f"2024-01-31 10:00:{i:02d}"), "approved": False} for i in range(30)]
+    card_files(spark, make_cards, path, rows, [{"transaction_timestamp": at("2024-01-31 10:01:00"), "approved": True}])
+    stream = spark.readStream.option("maxFilesPerTrigger", 1).schema(CARD_TRANSACTIONS).parquet(path)
+    query = alerts.update_to(alerts.step_updates(stream), str(tmp_path / "steps"), str(tmp_path / "o"))
+    query.awaitTermination()
+    assert query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 2  # a row per minute
+    windows = {r["window_start"].strftime("%H:%M"): r["transactions"] for r in alerts.current_alerts(spark, str(tmp_path / "steps")).collect()}
+    assert len(windows) == 16 and windows["09:46"] == 30 and windows["10:00"] == 31 and windows["10:01"] == 1
+
+
 def test_run_history_and_stop(spark, tmp_path):
     history = str(tmp_path / "runs")
     assert runs.recorded(spark, "job", history, lambda: 5) == 5
