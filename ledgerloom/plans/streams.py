@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.operators.facts import price, typed_cards
+from ledgerloom.operators import changes as table_changes
 from ledgerloom.operators.relational import row_counts
 from ledgerloom.plans.oracle import sql
 from ledgerloom.plans.registry import register
@@ -125,6 +126,54 @@ def _(spark, folder):
     return alerts.latest(spark, f"{base}/table", alerts.REPEATS, ["window_start", "card_number"])
 
 
+def order_states(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The orders, and a later state of them: some deleted, some with another status, some new."""
+    orders = bindings.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    key = F.col("o_orderkey")
+    changed = F.when(key % 5 == 0, "X").otherwise(F.col("o_orderstatus"))
+    later = orders.filter(key % 7 != 0).withColumn("o_orderstatus", changed)
+    new = orders.filter(key % 11 == 0).withColumn("o_orderkey", -key)
+    return orders, later.unionByName(new)
+
+
+LATER_ORDERS = """later AS (
+      SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice
+      FROM orders WHERE o_orderkey % 7 <> 0
+      UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 11 = 0)"""
+
+
+@register(
+    "table_changes",
+    f"""WITH {LATER_ORDERS}
+    SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN side = 'new' THEN a.o_orderstatus ELSE b.o_orderstatus END
+      AS o_orderstatus, CASE WHEN side = 'new' THEN 'INSERT' ELSE 'DELETE' END AS metadata_action,
+      a.o_orderkey IS NOT NULL AND b.o_orderkey IS NOT NULL AS metadata_isupdate
+    FROM later a FULL JOIN orders b ON a.o_orderkey = b.o_orderkey, (SELECT unnest(['new', 'old']) AS side)
+    WHERE (side = 'new' AND a.o_orderkey IS NOT NULL OR side = 'old' AND b.o_orderkey IS NOT NULL)
+      AND (a.o_custkey, a.o_orderstatus, a.o_totalprice) IS DISTINCT FROM (b.o_custkey, b.o_orderstatus, b.o_totalprice)""",
+)
+def _(spark, folder):
+    """Inserts, deletes and both halves of updates between two states of the orders."""
+    before, after = order_states(spark, folder)
+    return table_changes.table_changes(before, after, ["o_orderkey"]).select(
+        "o_orderkey", "o_orderstatus", "metadata_action", "metadata_isupdate"
+    )
+
+
+@register("stream_table_changes", f"WITH {LATER_ORDERS} SELECT * FROM later")
+def _(spark, folder):
+    """Initial rows and changes of the orders through a stream; the consumer's table is the later state."""
+    base = fresh_dir(spark, "order-changes")
+    before, after = order_states(spark, folder)
+    first = table_changes.table_changes(None, before, ["o_orderkey"])
+    changes.record_changes(first, f"{base}/log", 0)
+    changes.record_changes(table_changes.table_changes(before, after, ["o_orderkey"]), f"{base}/log", 1)
+    stream = changes.recorded_changes(spark, f"{base}/log", first.schema)
+    changes.load_once(stream.withColumn("source_file", F.lit("log")), f"{base}/table", f"{base}/offsets").awaitTermination()
+    consumed = changes.read_table(spark, f"{base}/table", first.schema.add("version", "long"))
+    return table_changes.current_rows(consumed, ["o_orderkey"], "version")
+
+
 def line_messages(spark: SparkSession, folder: str) -> DataFrame:
     """One nested order message per order line."""
     r = bindings.retail(spark, folder)

@@ -95,6 +95,16 @@ def change_stream(
     )
 
 
+def record_changes(changes: DataFrame, log: str, version: int) -> None:
+    """Store the changes of one version of a table; a repeated version replaces itself."""
+    replace_table(changes, f"{log}/version={int(version)}")
+
+
+def recorded_changes(spark: SparkSession, log: str, schema: StructType) -> DataFrame:
+    """The stored changes of a table as a stream, inserts and deletes, with their version."""
+    return spark.readStream.schema(StructType([*schema.fields]).add("version", "long")).parquet(log)
+
+
 def file_log(batch: DataFrame, table_name: str) -> DataFrame:
     """Load-history rows of a batch: one per source file."""
     broken = F.col(CORRUPT) if CORRUPT in batch.columns else F.lit(None).cast("string")

@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import quantiles
 from ledgerloom.functions.quantiles import exact_quantiles, global_row_number, quantile_bin
 
 PROBS = [0.0, 0.25, 0.5, 0.75, 1.0]
@@ -61,3 +62,44 @@ def test_global_row_number(spark):
     expected = df.toPandas().sort_values(["f", "k"])
     assert got["row_number"].tolist() == list(range(1, 10_001))
     assert got["k"].tolist() == expected["k"].tolist()
+
+
+def test_half_of_the_rows_in_one_bracket(spark, monkeypatch):
+    """Half of all rows are distinct values within one bracket: rounds narrow it, no task gets it whole."""
+    monkeypatch.setattr(quantiles, "FEW", 50)
+    rounds = []
+    narrow = quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda inner, ranks: (rounds.append(len(ranks)), narrow(inner, ranks)))
+    df = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, 5 + F.col("id") * 1e-9).otherwise(F.col("id").cast("double")).alias("x")
+    )
+    probs = [0.01, 0.25, 0.5, 0.99]
+    got = exact_quantiles(df, ["x"], probs, accuracy=20).first()["x"]
+    assert np.allclose(got, df.toPandas()["x"].quantile(probs), rtol=0, atol=1e-12)
+    assert 2 <= len(rounds) <= 4
+
+
+def test_missed_bracket_is_widened(spark, monkeypatch):
+    """A sketch that is far off costs a pass, not the result."""
+    sketch, calls = F.percentile_approx, []
+
+    def off(column, around, accuracy):
+        calls.append(around)
+        return sketch(column, [0.9] * len(around), accuracy) if len(calls) == 1 else sketch(column, around, accuracy)
+
+    monkeypatch.setattr(quantiles.F, "percentile_approx", off)
+    df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
+    assert exact_quantiles(df, ["x"], [0.25, 0.5]).first()["x"] == [249.75, 499.5]
+    assert len(calls) >= 2
+
+
+def test_no_values(spark):
+    df = spark.createDataFrame([(None, 1.0)], "x double, y double")
+    row = exact_quantiles(df, ["x", "y"], [0.5]).first()
+    assert row["x"] == [] and row["y"] == [1.0]
+
+
+def test_no_window_over_values(spark):
+    import inspect
+
+    assert "Window" not in inspect.getsource(quantiles._select) + inspect.getsource(quantiles._narrow)
