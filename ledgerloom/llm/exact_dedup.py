@@ -19,7 +19,6 @@ from ledgerloom.llm.common import one_space, stored, whole_text, without
 
 PREFIX = 256
 BUCKETS = 1 << 18
-HOT = 1000
 
 
 def _bucket(length: Column, prefix: Column) -> Column:
@@ -66,10 +65,8 @@ def exact_copies(docs: DataFrame, digest: bool = False) -> DataFrame:
         rows.where("whole IS NOT NULL").groupBy(*key).agg(first, F.count("*").alias("group_size")).where("group_size > 1")
     )
     groups = stored(groups, "dedup-groups")
-    # Groups with over 1/HOT of all rows, fewer than HOT of them, are joined by broadcast where their rows lie.
-    hot = F.broadcast(groups.where(F.col("group_size") * HOT > rows.count()))
-    cold = rows.join(hot, key, "left_anti").join(groups, key, "left")
-    joined = cold.unionByName(rows.join(hot, key))
+    # Slim rows; the adaptive planner splits a partition that holds the rows of a hot group.
+    joined = rows.join(groups, key, "left")
     return joined.select(
         "doc_id",
         F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("keep_id"),
