@@ -532,16 +532,22 @@ def _(cards):
 
 on_flows(
     "lineage_paths",
-    """SELECT * FROM (WITH RECURSIVE tree AS (
-      SELECT lineage_id, source_object, target_object, transformation_type, dependency_level,
-        source_object AS root_source, source_object || ' -> ' || target_object AS lineage_path
-      FROM flows WHERE dependency_level = 1
-      UNION ALL SELECT f.lineage_id, f.source_object, f.target_object, f.transformation_type,
-        f.dependency_level, t.root_source, t.lineage_path || ' -> ' || f.target_object
-      FROM flows f JOIN tree t ON f.source_object = t.target_object
-      WHERE f.dependency_level = t.dependency_level + 1)
-    SELECT * FROM tree)""",
+    " UNION ALL ".join(
+            f"""SELECT e{n}.lineage_id, e{n}.source_object, e{n}.target_object, e{n}.transformation_type, e{n}.dependency_level,
+            e1.source_object AS root_source, concat_ws(' -> ', e1.source_object, {', '.join(f'e{k}.target_object' for k in range(1, n + 1))}) AS lineage_path
+            FROM flows e1 {' '.join(f'JOIN flows e{k} ON e{k}.source_object = e{k - 1}.target_object AND e{k}.dependency_level = {k}' for k in range(2, n + 1))}
+            WHERE e1.dependency_level = 1"""
+        for n in range(1, 4)  # the object flows have three levels
+    ),
 )(lineage.lineage_paths)
+on_flows(
+    "reachable_objects",
+    """SELECT root_source, target_object, min(distance) AS distance FROM (WITH RECURSIVE reached AS (
+      SELECT DISTINCT source_object AS root_source, target_object, 1 AS distance FROM flows
+      UNION SELECT r.root_source, f.target_object, r.distance + 1 FROM reached r
+      JOIN flows f ON f.source_object = r.target_object)
+    SELECT * FROM reached) GROUP BY ALL""",
+)(lineage.reachable_objects)
 on_flows(
     "impact_analysis",
     """SELECT source_object, string_agg(target_object, ', ' ORDER BY dependency_level, target_object)

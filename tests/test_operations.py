@@ -28,6 +28,30 @@ def test_lineage_skips_level_gaps(spark):
     assert [r["lineage_id"] for r in lineage.lineage_paths(edges).orderBy("lineage_id").collect()] == ["a", "c"]
 
 
+EDGES = "lineage_id string, source_object string, target_object string, transformation_type string, dependency_level int"
+
+
+def test_lineage_of_depth_eight_reads_each_level_once(spark, monkeypatch):
+    rows = [(f"{k}{s}", f"o{k}{s}", f"o{k + 1}{s}", "K", k) for k in range(1, 9) for s in "ab"]
+    written = []
+    keep = lineage.checkpointed
+    monkeypatch.setattr(lineage, "checkpointed", lambda df: (written.append(keep(df)), written[-1])[1])
+    paths = lineage.lineage_paths(spark.createDataFrame(rows, EDGES))
+    assert [df.count() for df in written] == [16] + [2] * 8 + [0]  # the edges, then each level, then nothing
+    assert "Join" not in paths._jdf.queryExecution().executedPlan().toString()
+    last = paths.filter("dependency_level = 8 AND root_source = 'o1a'").first()["lineage_path"]
+    assert last == " -> ".join(f"o{k}a" for k in range(1, 10))
+
+
+def test_reachable_objects_with_cycles_and_shortcuts(spark):
+    pairs = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("a", "d"), ("d", "d"), ("x", "y"), ("x", "y")]
+    edges = spark.createDataFrame([("i", s, t, "K", 1) for s, t in pairs], EDGES)
+    got = {(r["root_source"], r["target_object"]): r["distance"] for r in lineage.reachable_objects(edges).collect()}
+    cycle = {(s, t): (("abc".index(t) - "abc".index(s)) % 3 or 3) for s in "abc" for t in "abc"}
+    assert got == cycle | {("a", "d"): 1, ("b", "d"): 2, ("c", "d"): 1, ("d", "d"): 1, ("x", "y"): 1}
+    assert lineage.reachable_objects(edges.limit(0)).count() == 0
+
+
 def test_impact(spark):
     rows = {r["source_object"]: r for r in lineage.impact_analysis(lineage.lineage_table(spark, NOW)).collect()}
     top = rows["CC_TRANS_ALL"]
