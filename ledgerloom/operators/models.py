@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
+import json
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.operators.retail import daily_sales
 from ledgerloom.operators.rfm import rfm_table
 from ledgerloom.session import checkpointed
 
 FEATURES = ["recency", "frequency", "monetary"]
-PARALLEL_FITS = 5
-# Many short jobs run over the features; fewer rows than this per task would be all scheduling.
+# Short jobs run over the features; fewer rows than this per task would be all scheduling.
 ROWS_PER_TASK = 200_000
+MAX_PASSES, TOLERANCE = 300, 1e-4  # of the mean variance, for the square of a centre's move
 
 
 def cluster_name(center: list[Column], mean: dict[str, Column]) -> Column:
@@ -31,65 +30,100 @@ def cluster_name(center: list[Column], mean: dict[str, Column]) -> Column:
     )
 
 
+def _first_centers(rows: DataFrame, k: int, starts: Sequence[int]) -> dict[int, list[list[float]]]:
+    """Of each start the k customers with the least md5 of start and id: fixed by seed and ids alone."""
+    drawn = rows.withColumn("start", F.explode(F.array(*map(F.lit, starts))))
+    order = Window.partitionBy("start").orderBy(F.md5(F.concat_ws(":", "start", "customer_id")), "customer_id")
+    first = drawn.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k)
+    centers: dict[int, list[list[float]]] = {}
+    for r in sorted(first.select("start", "n", "recency", "frequency", "cents").collect()):
+        centers.setdefault(r["start"], []).append([float(r["recency"]), float(r["frequency"]), r["cents"] / 100])
+    return centers
+
+
+def _nearest(centers: str, k: int) -> Column:
+    """Number of the nearest of k centers; of equally near ones the first."""
+
+    def distance(j: int) -> str:
+        gaps = [f"({x} - {centers}[{j}][{d}])" for d, x in enumerate(("recency", "frequency", "money"))]
+        return f"struct({' + '.join(f'{gap} * {gap}' for gap in gaps)} AS d, {j} AS j)"
+
+    return F.expr(f"array_min(array({', '.join(map(distance, range(k)))})).j")
+
+
+def _constant(value: object, kind: str) -> Column:
+    """A nested constant that stays data: the generated code is the same for every value and compiled once."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
+
+
+def _lloyd_pass(rows: DataFrame, centers: dict[int, list[list[float]]], k: int) -> dict[int, dict[int, tuple]]:
+    """Count and feature sums of every cluster of every start, in one job over the rows."""
+    starts = _constant([{"s": s, "c": c} for s, c in centers.items()], "array<struct<s: int, c: array<array<double>>>>")
+    each = rows.withColumn("start", F.explode(starts))
+    near = each.select("start.s", _nearest("start.c", k).alias("j"), "recency", "frequency", "cents")
+    sums = near.groupBy("s", "j").agg(F.count("*"), F.sum("recency"), F.sum("frequency"), F.sum("cents"))
+    found: dict[int, dict[int, tuple]] = {s: {} for s in centers}
+    for s, j, *values in sums.collect():
+        found[s][j] = tuple(values)
+    return found
+
+
 def customer_clusters(
     sales: DataFrame, as_of: str, k: int = 4, restarts: int = 10, seed: int = 42
 ) -> DataFrame:
     """K-means on raw recency, frequency and monetary; the restart with the least cost is kept.
 
-    Clusters are named by their centre against the overall means, so several may share a name. Fewer
-    than k customers give no rows.
+    A pass is one aggregation for all restarts together, of at most restarts * k groups. Sums are whole numbers
+    (money in cents), so the result does not depend on the order of rows: seed and data fix it. A restart has
+    converged when no centre moves by more than a hundredth of the common spread. Clusters are named by their centre
+    against the overall means, so several may share a name. Fewer than k customers give no rows.
     """
-    # One row per customer, kept: the restarts and the labels read it instead of joining the sales again.
+    # One row per customer, kept: the passes and the labels read it instead of joining the sales again.
     rfm = checkpointed(rfm_table(sales, as_of).select("customer_id", *FEATURES))
-    data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rfm)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    cents = F.round(F.col("monetary") * 100).cast("bigint")
+    money = (F.col("cents") / 100).alias("money")
+    rows = rfm.withColumn("cents", cents).select("customer_id", "recency", "frequency", "cents", money)
+    exact = [F.col("recency").cast("decimal(19,0)"), F.col("frequency").cast("decimal(19,0)"), F.col("cents").cast("decimal(19,0)")]
+    n, *moments = rows.agg(F.count("*"), *(F.sum(x) for x in exact), *(F.sum(x * x) for x in exact)).first()
+    if n < k:
+        return rfm.limit(0).withColumns({"cluster": F.lit(0), "segment": F.lit(""), "training_cost": F.lit(0.0)})
+    totals = [float(moments[0]), float(moments[1]), float(moments[2]) / 100]
+    squares = float(moments[3]) + float(moments[4]) + float(moments[5]) / 10000
+    spread = (squares - sum(t * t / n for t in totals)) / n / 3
+    rows = rows.coalesce(n // ROWS_PER_TASK + 1).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = data.agg(
-            F.count("*").alias("n"),
-            *[F.avg(c).alias(c) for c in FEATURES],
-            (sum(F.var_pop(c) for c in FEATURES) / len(FEATURES)).alias("variance"),
-        ).first()
-        if stats["n"] < k:
-            return rfm.limit(0).withColumns(
-                {"cluster": F.lit(0), "segment": F.lit(""), "training_cost": F.lit(0.0)}
-            )
-        # Centres have converged when they move by less than a hundredth of the common spread.
-        tasks = stats["n"] // ROWS_PER_TASK + 1
-        best = best_model(
-            data.coalesce(tasks), k, restarts, seed, tol=0.01 * stats["variance"] ** 0.5
-        )
+        centers = _first_centers(rows, k, range(seed, seed + restarts))
+        active, held = set(centers), {}
+        for _ in range(MAX_PASSES):
+            for s, clusters in _lloyd_pass(rows, {s: centers[s] for s in sorted(active)}, k).items():
+                moved = 0.0
+                new = [list(c) for c in centers[s]]  # an empty cluster keeps its centre
+                for j, (count, r, f, m) in clusters.items():
+                    new[j] = [r / count, f / count, m / (count * 100)]
+                    moved = max(moved, sum((x - y) * (x - y) for x, y in zip(new[j], centers[s][j], strict=True)))
+                centers[s] = new
+                held[s] = sum((float(r) ** 2 + float(f) ** 2 + (m / 100) ** 2) / c for _, (c, r, f, m) in sorted(clusters.items()))
+                if moved <= TOLERANCE * spread:
+                    active.remove(s)
+            if not active:
+                break
     finally:
-        data.unpersist()
-    # k centres, as literals.
-    centers = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in best.clusterCenters()])
-    mean = {c: F.lit(float(stats[c])) for c in FEATURES}
-    labelled = best.transform(
-        VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rfm)
-    ).withColumn("center", centers[F.col("cluster")])
-    at = [F.col("center")[i] for i in range(len(FEATURES))]
+        rows.unpersist()
+    best = max(sorted(held), key=held.__getitem__)
+    own = F.col("own")
+    mean = {c: F.lit(t / n) for c, t in zip(FEATURES, totals, strict=True)}
+    labelled = rfm.withColumns({"money": cents / 100, "own": _constant(centers[best], "array<array<double>>")})
+    labelled = labelled.withColumn("cluster", _nearest("own", k))
+    at = [own[F.col("cluster")][i] for i in range(len(FEATURES))]
     return labelled.select(
         "customer_id",
         *FEATURES,
         "cluster",
         cluster_name(at, mean).alias("segment"),
-        F.lit(float(best.summary.trainingCost)).alias("training_cost"),
+        F.lit(squares - held[best]).alias("training_cost"),
     )
 
 
-def best_model(data: DataFrame, k: int, restarts: int, seed: int, tol: float):
-    """Least-cost model of several seeds.
-
-    Every fit is a series of distributed jobs over the cached features; a few fits run at a time, so
-    that one fills the executors while another waits for its driver step.
-    """
-    kmeans = KMeans(k=k, featuresCol="features", predictionCol="cluster", maxIter=300, tol=tol)
-    fits = kmeans.fitMultiple(data, [{kmeans.seed: seed + i} for i in range(restarts)])
-    fit_next = inheritable_thread_target(data.sparkSession)(lambda _: next(fits)[1])
-    with ThreadPool(min(restarts, PARALLEL_FITS)) as pool:
-        models = pool.map(fit_next, range(restarts))
-    return min(models, key=lambda m: m.summary.trainingCost)
-
-
 def value_by_cluster(clustered: DataFrame) -> DataFrame:
     """Mean revenue of a customer per named cluster, highest first."""
     return (

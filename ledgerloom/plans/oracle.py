@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ledgerloom.plans.registry import RETAIL_AS_OF
+
 # name -> (names it needs, SELECT text)
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "r_orders": (
@@ -229,6 +231,60 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
           'CONSISTENCY_CURRENCY_USD','CONSISTENCY_TRANSACTION_TYPES']) AS metric_name,
           unnest([c1, c2, c3, v1, v2, s1, s2]) AS good FROM daily_checks)""",
     ),
+    # Lloyd's passes of ten starts side by side: first centres by md5, nearest centre, means, until no centre moves by
+    # more than a hundredth of the spread; then the start that holds most of the squares, its labels and names.
+    "c_points": (
+        ("rfm_base",),
+        f"""SELECT customer_id, date_sub('day', last_order, timestamp '{RETAIL_AS_OF}') AS r, frequency AS f, monetary,
+        cast(round(monetary * 100) AS bigint) AS cents, cast(round(monetary * 100) AS bigint) / 100.0::double AS m
+      FROM rfm_base""",
+    ),
+    "c_totals": (
+        ("c_points",),
+        """SELECT count(*) AS n, sum(r)::double AS r, sum(f)::double AS f, sum(cents)::double / 100 AS m,
+        sum(r::hugeint * r)::double + sum(f::hugeint * f)::double + sum(cents::hugeint * cents)::double / 10000 AS squares
+      FROM c_points""",
+    ),
+    "c_passes": (
+        ("c_points", "c_totals",),
+        """WITH RECURSIVE passes AS (
+      SELECT s, j, 0 AS pass, r::double AS x, f::double AS y, m AS z, false AS done, 0::double AS held FROM (
+        SELECT s, r, f, m, row_number() OVER (PARTITION BY s ORDER BY md5(s || ':' || customer_id), customer_id) - 1 AS j
+        FROM c_points, range(42, 52) t(s)) WHERE j < 4
+      UNION ALL
+      SELECT s, j, pass + 1, x, y, z,
+        max(moved) OVER (PARTITION BY s) <= 1e-4::double * (SELECT (squares - (r * r / n + f * f / n + m * m / n)) / n / 3 FROM c_totals),
+        sum(part) OVER (PARTITION BY s ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+      FROM (
+        SELECT o.s, o.j, o.pass, coalesce(u.x, o.x) AS x, coalesce(u.y, o.y) AS y, coalesce(u.z, o.z) AS z, coalesce(u.part, 0) AS part,
+          coalesce((u.x - o.x) * (u.x - o.x) + (u.y - o.y) * (u.y - o.y) + (u.z - o.z) * (u.z - o.z), 0) AS moved
+        FROM passes o LEFT JOIN (
+          SELECT s, j, sum(r)::double / count(*) AS x, sum(f)::double / count(*) AS y, sum(cents)::double / (count(*) * 100) AS z,
+            (sum(r)::double * sum(r)::double + sum(f)::double * sum(f)::double
+              + (sum(cents)::double / 100) * (sum(cents)::double / 100)) / count(*) AS part
+          FROM (SELECT c.s, p.customer_id, any_value(p.r) AS r, any_value(p.f) AS f, any_value(p.cents) AS cents,
+              arg_min(c.j, struct_pack(d := (p.r - c.x) * (p.r - c.x) + (p.f - c.y) * (p.f - c.y) + (p.m - c.z) * (p.m - c.z), j := c.j)) AS j
+            FROM c_points p, passes c WHERE NOT c.done GROUP BY c.s, p.customer_id)
+          GROUP BY s, j) u ON u.s = o.s AND u.j = o.j
+        WHERE NOT o.done))
+    SELECT * FROM passes WHERE done""",
+    ),
+    "c_best": (
+        ("c_passes", "c_totals",),
+        """SELECT p.*, t.squares - held AS cost FROM c_passes p, c_totals t
+      WHERE s = (SELECT arg_min(s, struct_pack(h := -held, s := s)) FROM c_passes)""",
+    ),
+    "clustered": (
+        ("c_points", "c_best", "c_totals",),
+        """SELECT customer_id, recency, frequency, monetary, cluster, round(cost, 2) AS training_cost,
+        CASE WHEN z > t_m AND x < t_r THEN 'Champions' WHEN x > t_r * 1.5 THEN 'À Risque'
+          WHEN y > t_f THEN 'Clients Loyaux' ELSE 'Standard' END AS segment
+      FROM (SELECT p.customer_id, any_value(p.r) AS recency, any_value(p.f) AS frequency, any_value(p.monetary) AS monetary,
+          arg_min(b.j, struct_pack(d := (p.r - b.x) * (p.r - b.x) + (p.f - b.y) * (p.f - b.y) + (p.m - b.z) * (p.m - b.z), j := b.j))::int
+            AS cluster
+        FROM c_points p, c_best b GROUP BY p.customer_id) a
+      JOIN c_best b ON b.j = a.cluster, (SELECT r / n AS t_r, f / n AS t_f, m / n AS t_m FROM c_totals)""",
+    ),
 }
 
 

@@ -367,17 +367,23 @@ def _(sales):
     return last.select("theme", elapsed_days(F.col("last"), at).alias("days"))
 
 
-# --- models: no SQL twin -----------------------------------------------------------------------
+# --- models ------------------------------------------------------------------------------------
 
-
-@on_sales("customer_clusters")
+@on_sales("customer_clusters", "SELECT * FROM clustered", needs="clustered")
 def _(sales):
-    return models.customer_clusters(sales, RETAIL_AS_OF)
+    found = models.customer_clusters(sales, RETAIL_AS_OF)
+    return found.withColumn("training_cost", F.round("training_cost", 2))
 
 
-@on_sales("value_by_cluster")
+@on_sales(
+    "value_by_cluster",
+    """SELECT segment, count(*) AS customers, round(cast(sum(monetary::decimal(18,2)) AS double) / count(*), 4) AS average_monetary
+    FROM clustered GROUP BY segment""",
+    needs="clustered",
+)
 def _(sales):
-    return models.value_by_cluster(models.customer_clusters(sales, RETAIL_AS_OF))
+    values = models.value_by_cluster(models.customer_clusters(sales, RETAIL_AS_OF))
+    return values.withColumn("average_monetary", F.round("average_monetary", 4))
 
 
 @on_sales("sales_forecast")

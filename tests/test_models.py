@@ -42,18 +42,50 @@ def test_clusters_follow_the_naming_rule(spark):
     assert value["average_monetary"].is_monotonic_decreasing
 
 
-def test_best_restart_is_kept(spark):
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-    from ledgerloom.operators.rfm import rfm_table
-
-    rfm = rfm_table(customers(spark), "2024-07-01 00:00:00")
-    data = VectorAssembler(inputCols=models.FEATURES, outputCol="features").transform(rfm).coalesce(1).cache()
-    best = models.best_model(data, 4, 4, 42, tol=1e-4)
-    costs = [
-        KMeans(k=4, seed=42 + i, maxIter=300).fit(data).summary.trainingCost for i in range(4)
-    ]
-    assert best.summary.trainingCost == pytest.approx(min(costs))
+def lloyd(points, centers):
+    """Plain passes of one start, to the same rule."""
+    spread = points.var(axis=0).mean()
+    while True:
+        label = ((points[:, None] - centers[None]) ** 2).sum(axis=2).argmin(axis=1)
+        new = np.array([points[label == j].mean(axis=0) if (label == j).any() else c for j, c in enumerate(centers)])
+        moved = ((new - centers) ** 2).sum(axis=1).max()
+        cost = sum(((points[label == j] - new[j]) ** 2).sum() for j in range(len(centers)))
+        centers = new
+        if moved <= models.TOLERANCE * spread:
+            return cost, centers
+
+
+def test_all_starts_run_together_and_the_best_is_kept(spark, monkeypatch):
+    import hashlib
+
+    passes = []
+    one = models._lloyd_pass
+    monkeypatch.setattr(models, "_lloyd_pass", lambda rows, centers, k: (passes.append(len(centers)), one(rows, centers, k))[1])
+    rows = models.customer_clusters(customers(spark), "2024-07-01 00:00:00", restarts=5, seed=7).toPandas()
+    points = rows[models.FEATURES].to_numpy(float)
+    found = []
+    for s in range(7, 12):
+        order = sorted(range(len(rows)), key=lambda i: hashlib.md5(f"{s}:{rows['customer_id'][i]}".encode()).hexdigest())
+        found.append(lloyd(points, points[order[:4]]))
+    cost, centers = min(found, key=lambda f: f[0])
+    assert rows["training_cost"].iloc[0] == pytest.approx(cost, rel=1e-6)
+    nearest = ((points[:, None] - centers[None]) ** 2).sum(axis=2).argmin(axis=1)
+    assert (rows["cluster"] == nearest).all()
+    assert passes[0] == 5 and passes == sorted(passes, reverse=True)  # one job for all starts that still move
+
+
+def test_result_is_fixed_by_the_seed(spark):
+    one = models.customer_clusters(customers(spark), "2024-07-01 00:00:00", restarts=3)
+    two = models.customer_clusters(customers(spark).repartition(13), "2024-07-01 00:00:00", restarts=3)
+    assert sorted(one.collect()) == sorted(two.collect())
+
+
+def test_equal_customers_leave_clusters_empty(spark):
+    same = customers(spark, 8).filter("customer_id < 1000").withColumns(
+        {"order_date": F.lit("2024-01-01").cast("timestamp_ntz"), "total_sale": F.lit(5).cast("decimal(18,2)")}
+    )
+    rows = models.customer_clusters(same, "2024-07-01 00:00:00", restarts=2).collect()
+    assert {r["cluster"] for r in rows} == {0} and rows[0]["training_cost"] == 0
 
 
 def test_too_few_customers(spark):

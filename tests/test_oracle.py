@@ -31,7 +31,7 @@ def test_contract():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     without = set(entry.queries()) - set(entry.oracle_sql()) - set(entry.LLM_QUERIES)
     assert without == {
-        "masking_samples", "card_sample", "customer_clusters", "value_by_cluster", "sales_forecast", "sales_forecast_by_theme",
+        "masking_samples", "card_sample", "sales_forecast", "sales_forecast_by_theme",
     }
 
 
