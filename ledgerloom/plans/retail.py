@@ -394,3 +394,17 @@ def _(sales):
 @on_sales("sales_forecast_by_theme")
 def _(sales):
     return models.sales_forecast(sales, "theme")
+
+
+@on_sales(
+    "sales_forecast_by_model",
+    """SELECT model_name AS series, cast(step AS int) AS step, cast(last + cast(step AS int) AS date) AS day, true AS ordered
+    FROM (SELECT model_name, min(cast(order_date AS date)) AS first, max(cast(order_date AS date)) AS last
+          FROM sales GROUP BY ALL), range(1, 31) t(step)
+    WHERE last - first >= 13""",
+)
+def _(sales):
+    """A series per model: 30 days after its last sale, the mean within its limits."""
+    found = models.sales_forecast(sales, "model_name")
+    ordered = (F.col("lower") <= F.col("mean")) & (F.col("mean") <= F.col("upper"))
+    return found.select("series", "step", "day", ordered.alias("ordered"))

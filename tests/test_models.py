@@ -126,6 +126,35 @@ def test_forecast_recovers_coefficients():
     assert phi == pytest.approx(0.5, abs=0.08) and ma == pytest.approx(0.3, abs=0.08)
 
 
+def test_likelihood_equals_the_dense_one():
+    """Against the multivariate normal density of the same model, from its own covariances."""
+    rng = np.random.default_rng(4)
+    w, theta = rng.normal(size=40), np.array([0.5, 0.3, -0.4, -0.6])
+    ar, mov = models._lag_polynomials(theta)
+    psi = np.zeros(1500)
+    for j in range(len(psi)):
+        psi[j] = (mov[j] if j < len(mov) else 0) - sum(ar[i] * psi[j - i] for i in range(1, min(j, 8) + 1))
+    cov = np.array([psi[: len(psi) - k] @ psi[k:] for k in range(40)])
+    dense = cov[np.abs(np.subtract.outer(np.arange(40), np.arange(40)))]
+    errors, variances, _ = models._innovations(w, theta[None])
+    assert (errors**2 / variances).sum() == pytest.approx(w @ np.linalg.solve(dense, w), rel=1e-6)
+    assert np.log(variances).sum() == pytest.approx(np.linalg.slogdet(dense)[1], abs=1e-5)
+
+
+def test_one_series_per_combination(spark):
+    rows = [("m1", "t1", d) for d in range(20)] + [("m1", "t2", d) for d in range(30)] + [("m2", "t1", d) for d in range(5)]
+    df = spark.createDataFrame(rows, "model_name string, theme string, d int").select(
+        "model_name",
+        "theme",
+        (F.lit("2024-01-01").cast("date") + F.col("d")).cast("timestamp_ntz").alias("order_date"),
+        (F.col("d") % 7 + 10).cast("decimal(18,2)").alias("total_sale"),
+    )
+    got = models.sales_forecast(df, ["model_name", "theme"], steps=3).toPandas()
+    assert got.groupby("series").size().to_dict() == {"m1 / t1": 3, "m1 / t2": 3}
+    # A whole number of weeks and no noise: the series goes on as it was.
+    assert np.allclose(got[got["series"] == "m1 / t1"].sort_values("step")["mean"], [16, 10, 11], atol=1e-6)
+
+
 def test_forecast_many_series(spark):
     frames = []
     for key, days in (("a", 60), ("b", 40), ("short", 13)):
