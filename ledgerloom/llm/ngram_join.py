@@ -233,13 +233,15 @@ def _suspects(first: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _candidates(docs: DataFrame, suspects: DataFrame) -> DataFrame:
     """rep, n, hashes (held by other classes too, rarest first), lead (how many of them are index entries)."""
-    sets = stored(_sets(_chosen(docs, suspects), whole=True).dropDuplicates(["doc_id", "h1", "h2"]), "join-sets")
-    tokens = sets.select(F.col("doc_id").alias("rep"), "n", "h1", "h2", F.explode("hashes").alias("token"))
-    held = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
-    ordered = tokens.join(held, "token").groupBy("rep", "n", "h1", "h2").agg(
+    sets = _sets(_chosen(docs, suspects), whole=True).dropDuplicates(["doc_id", "h1", "h2"])
+    sets = stored(sets.withColumn("row", F.monotonically_increasing_id()), "join-sets")
+    # A hash travels with its set's row number alone: 16 bytes, twice.
+    tokens = sets.select("row", F.explode("hashes").alias("token"))
+    held = tokens.groupBy("token").agg(F.count("*").cast("int").alias("c")).where("c > 1")
+    ordered = tokens.join(held, "token").groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("c", "token"))).alias("pairs")  # one document's own hashes
     )
-    ordered = ordered.where(_bound("size(pairs)", JACCARD))
+    ordered = ordered.join(sets.select("row", F.col("doc_id").alias("rep"), "n"), "row").where(_bound("size(pairs)", JACCARD))
     lead = F.expr(f"n - ceil(n * {JACCARD.numerator} / {JACCARD.denominator}) + 1 - (n - size(pairs))")
     return stored(
         ordered.select("rep", "n", F.col("pairs.token").alias("hashes"), lead.cast("int").alias("lead")), "join-ordered"
