@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, decontamination, exact_dedup, ngram_join, quality
-from ledgerloom.llm.common import stored, table, whole_text, without
+from ledgerloom.llm.common import stored, table, without
 from ledgerloom.llm.queries import vocabulary_path
 
 
@@ -39,10 +39,7 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window similar to a benchmark item; the text alone decides, not the id."""
-    digest = F.sha2(whole_text().cast("binary"), 256)
-    texts = docs.select(digest.alias("doc_id"), "text")
-    found = stored(decontamination.contaminated(texts, table(spark, sf_dir, "benchmark")), "pipeline-leaks")
-    return without(docs, found.select("doc_id"), digest)
+    return decontamination.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
