@@ -47,24 +47,30 @@ def measured_alerts(cards: DataFrame, metrics: DataFrame, backlog: DataFrame, as
     size. ``backlog`` is a one-row frame (``pending``).
     """
     whole = "decimal(38,0)"
-    recent_high = within(cards, 5, as_of).agg(F.max("amount").cast(whole).alias("alert_value"))
-    rate = within(cards, 15, as_of).agg(approval_rate().alias("alert_value"))
-    worst = within(metrics, 10, as_of, "measurement_timestamp").agg(
-        F.min("metric_value").cast(whole).alias("alert_value")
+
+    def last(minutes: int) -> Column:
+        return F.col("transaction_timestamp") > moment(as_of) - F.expr(f"interval '{minutes}' minute")
+
+    # One pass over the last half hour: per transaction for the repeats, then over all.
+    near = F.when(last(15), F.when(F.col("approved"), 100.0).otherwise(0.0))
+    parts = within(cards, 30, as_of).groupBy("transaction_id").agg(
+        F.max(F.when(last(5), F.col("amount"))).alias("high"),
+        F.sum(near).alias("rate"),
+        F.count(near).alias("rated"),
+        F.count("*").alias("n"),
     )
+    rules = {
+        "A001": F.max("high"),
+        "A002": F.round(F.try_divide(F.sum("rate"), F.sum("rated")), 0),
+        "A005": F.max("n"),
+    }
+    values = [F.struct(F.lit(i).alias("alert_id"), v.cast(whole).alias("alert_value")) for i, v in rules.items()]
+    measured = parts.agg(F.array(*values).alias("rules")).select(F.inline("rules"))
+    worst = within(metrics, 10, as_of, "measurement_timestamp").agg(F.min("metric_value").cast(whole).alias("alert_value"))
     waiting = backlog.select(F.col("pending").cast(whole).alias("alert_value"))
-    repeats = (
-        within(cards, 30, as_of)
-        .groupBy("transaction_id")
-        .agg(F.count("*").alias("n"))
-        .agg(F.max("n").cast(whole).alias("alert_value"))
-    )
-    named = {"A001": recent_high, "A002": rate, "A003": worst, "A004": waiting, "A005": repeats}
-    out = None
-    for alert_id, frame in named.items():
-        row = frame.select(F.lit(alert_id).alias("alert_id"), "alert_value")
-        out = row if out is None else out.unionByName(row)
-    return out
+    for alert_id, frame in {"A003": worst, "A004": waiting}.items():
+        measured = measured.unionByName(frame.select(F.lit(alert_id).alias("alert_id"), "alert_value"))
+    return measured
 
 
 def triggered(value: Column, operator: Column, threshold: Column) -> Column:

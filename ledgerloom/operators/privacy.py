@@ -121,6 +121,40 @@ def apply_masks(cards: DataFrame, role: str | Column) -> DataFrame:
     )
 
 
+ROLE_VARIABLE = "ledgerloom_role"
+
+
+def set_role(spark: SparkSession, role: str) -> None:
+    """The session's role: what views with masks show from now on."""
+    spark.sql(f"DECLARE OR REPLACE VARIABLE {ROLE_VARIABLE} STRING DEFAULT 'NONE'")
+    spark.sql(f"SET VAR {ROLE_VARIABLE} = :role", args={"role": role})
+
+
+def masked_view(cards: DataFrame, name: str) -> None:
+    """A view of the table that masks by the session's role; whoever reads it need not name one.
+
+    The masks are SQL functions of the session, so queries may apply them to other tables as well.
+    """
+    spark = cards.sparkSession
+    set_role(spark, "NONE")
+    admin = f"{ROLE_VARIABLE} IN ({', '.join(map(repr, ADMIN_ROLES))})"
+    ranges = " ".join(f"WHEN val > {bound} THEN {value}" for bound, value in RANGE_VALUES)
+    spark.sql(
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION card_number_mask(val BIGINT, who STRING) RETURNS BIGINT RETURN
+        CASE WHEN who = 'ADMIN' THEN val WHEN who = '{ANALYST_ROLE}' THEN CAST(right(CAST(val AS STRING), 4) AS BIGINT) ELSE 0 END"""
+    )
+    spark.sql(
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION amount_mask(val DECIMAL(10,2), who STRING) RETURNS DECIMAL(10,2) RETURN
+        CASE WHEN who = 'ADMIN' THEN val WHEN who = '{ANALYST_ROLE}' THEN round(val, -2)
+          WHEN who = '{AUDITOR_ROLE}' THEN CASE {ranges} ELSE {LOWEST_VALUE} END ELSE 0 END"""
+    )
+    cards.createOrReplaceTempView(f"{name}_rows")
+    who = f"CASE WHEN {admin} THEN 'ADMIN' ELSE {ROLE_VARIABLE} END"
+    shown = {"card_number": f"card_number_mask(card_number, {who})", "amount": f"amount_mask(amount, {who})"}
+    columns = ", ".join(f"{shown[c]} AS {c}" if c in shown else f"`{c}`" for c in cards.columns)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT {columns} FROM {name}_rows")
+
+
 def for_roles(cards: DataFrame, roles: Sequence[str]) -> DataFrame:
     """Every row once per role, with that role's masks; the table is read once."""
     each = cards.withColumn("role", F.explode(F.array(*[F.lit(r) for r in roles])))

@@ -119,3 +119,7 @@ LOAD_LOG = struct(
     bytes_loaded=LONG, last_load_time=INSTANT, first_error_message=TEXT,
 )
 RUN_HISTORY = struct(task_name=TEXT, state=TEXT, scheduled_time=INSTANT, completed_time=INSTANT)
+PROGRESS = struct(
+    run_id=TEXT, name=TEXT, event=TEXT, batch_id=LONG, input_rows=LONG, duration_ms=LONG, state_rows=LONG,
+    noted_at=INSTANT, error=TEXT,
+)

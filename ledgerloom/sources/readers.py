@@ -120,6 +120,20 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return system.exists(at) and system.getFileStatus(at).isDirectory()
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders within a folder."""
+    system, at = _file_system(spark, path)
+    if not system.exists(at):
+        return []
+    return sorted(s.getPath().toString() for s in system.listStatus(at) if s.isDirectory())
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    system, at = _file_system(spark, path)
+    if not system.rename(at, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} was not renamed to {to}")
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or folder with all it holds."""
     system, at = _file_system(spark, path)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def write_batches(df: DataFrame, path: str, rows_per_file: int, mode: str = "append") -> None:
@@ -66,6 +69,47 @@ def write_clustered(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     )
 
 
+def interleaved(buckets: Sequence[str], bits: int) -> Column:
+    """Z-order value: the bits of the bucket numbers in turn, the highest ones first."""
+    parts = [
+        F.shiftleft(F.shiftright(F.col(c).cast("bigint"), b).bitwiseAND(F.lit(1)), b * len(buckets) + k)
+        for b in range(bits)
+        for k, c in enumerate(buckets)
+    ]
+    return reduce(Column.bitwiseOR, parts)
+
+
+def write_zordered(df: DataFrame, path: str, keys: Sequence[str], files: int, bits: int = 8) -> None:
+    """Files along a Z-order curve over the ranks of several columns, so that a filter on any of them skips files.
+
+    Ranks come from a quantile sketch of ``2 ** bits`` parts per column, so skewed values are spread as well; rows of
+    one cell are cut by their source partition. NULLs come first. The files are sorted along the curve.
+    """
+    numbers = [F.col(k).cast("timestamp").cast("double") if t.startswith("timestamp") else F.col(k).cast("double") for k, t in df.dtypes if k in keys]
+    names = [f"_n{i}" for i in range(len(keys))]
+    wide = df.withColumns(dict(zip(names, (numbers[[k for k in df.columns if k in keys].index(key)] for key in keys), strict=True)))
+    edges = wide.approxQuantile(names, [i / 2**bits for i in range(1, 2**bits)], 0.25 / 2**bits)
+    for i, found in enumerate(edges):
+        splits = [-math.inf, *sorted(set(found)), math.inf]
+        cut = Bucketizer(splits=splits, inputCol=f"_n{i}", outputCol=f"_b{i}", handleInvalid="keep")
+        wide = cut.transform(wide.withColumn(f"_n{i}", F.coalesce(f"_n{i}", F.lit(-math.inf))))
+    z = interleaved([f"_b{i}" for i in range(len(keys))], bits + 1)
+    (
+        wide.withColumns({"_z": z, "_origin": F.spark_partition_id()})
+        .repartitionByRange(files, "_z", "_origin")
+        .sortWithinPartitions("_z")
+        .select(*df.columns)
+        .write.mode("overwrite")
+        .parquet(path)
+    )
+
+
+def file_ranges(table: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Least and greatest value of each column in every file, as the file statistics have them."""
+    bounds = [f(c).alias(f"{c}_{n}") for c in columns for n, f in (("least", F.min), ("most", F.max))]
+    return table.groupBy(F.col("_metadata.file_path").alias("file")).agg(*bounds)
+
+
 def since(df: DataFrame, moment) -> DataFrame:
     """Rows at or after ``moment`` of a daily-partitioned table.
 

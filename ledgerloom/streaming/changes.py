@@ -16,7 +16,9 @@ from pyspark.sql.types import StructType
 
 from ledgerloom.operators.facts import typed_cards
 from ledgerloom.schemas import CARD_TRANSACTIONS, JSON, LOAD_LOG, TEXT, struct
-from ledgerloom.sources.readers import exists, explode_documents, list_stage, match_by_name, matching_files
+from ledgerloom.sources.readers import (
+    exists, explode_documents, folders, list_stage, match_by_name, matching_files, remove, rename,
+)
 from ledgerloom.sources.sinks import replace_table
 
 CORRUPT = "_corrupt_record"
@@ -194,7 +196,67 @@ def load_parquet_once(
 
 def read_table(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
     """Rows of a batch-wise written table."""
-    return spark.read.schema(schema).parquet(table).select(*schema.names)
+    return spark.read.schema(schema).parquet(*live_folders(spark, table)).select(*schema.names)
+
+
+def _batches(spark: SparkSession, table: str) -> dict[str, dict[str, dict[int, str]]]:
+    """Folders of each stream of a table: single batches, and compacted ones by their last batch."""
+    found: dict[str, dict[str, dict[int, str]]] = {}
+    for stream in folders(spark, table):
+        if stream.rsplit("/", 1)[1].startswith("stream="):
+            kinds = found[stream] = {"batch_id": {}, "upto": {}}
+            for path in folders(spark, stream):
+                kind, _, number = path.rsplit("/", 1)[1].partition("=")
+                if kind in kinds:
+                    kinds[kind][int(number)] = path
+    return found
+
+
+def live_folders(spark: SparkSession, table: str) -> list[str]:
+    """What a reader of a table takes: ``upto=N`` stands for all batches of its stream up to N."""
+    live = []
+    for kinds in _batches(spark, table).values():
+        last = max(kinds["upto"], default=-1)
+        live += [kinds["upto"][last]] if last >= 0 else []
+        live += [path for n, path in sorted(kinds["batch_id"].items()) if n > last]
+    return live or [table]
+
+
+def compact(spark: SparkSession, table: str, schema: StructType, target_bytes: int = 128 << 20) -> None:
+    """Puts the finished batches of each stream into one folder with files of about ``target_bytes``.
+
+    Spark packs small files into read partitions of that size, and each is written as one file, without a shuffle.
+    The new folder is written aside and renamed at the end, which makes it count and the old ones not: a reader sees
+    the old folders or the new one. A run that dies before that is repeated; one that dies after it leaves folders
+    that no longer count, which the next run removes.
+    """
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    before = [spark.conf.get(name, None) for name in names]
+    for stream, kinds in _batches(spark, table).items():
+        last = max(kinds["upto"], default=-1)
+        new = {n: path for n, path in kinds["batch_id"].items() if n > last}
+        if len(new) > 1:
+            aside, upto = f"{stream}/_compacting", max(new)
+            try:
+                for name, value in zip(names, (target_bytes, 0, 1), strict=True):
+                    spark.conf.set(name, str(value))
+                parts = ([kinds["upto"][last]] if last >= 0 else []) + [new[n] for n in sorted(new)]
+                spark.read.schema(schema).parquet(*parts).write.mode("overwrite").parquet(aside)
+            finally:
+                for name, value in zip(names, before, strict=True):
+                    spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+            rename(spark, aside, f"{stream}/upto={upto}")
+        remove_covered(spark, stream)
+
+
+def remove_covered(spark: SparkSession, stream: str) -> None:
+    """Deletes the folders that a compacted one stands for."""
+    table = stream.rsplit("/", 1)[0]
+    kinds = _batches(spark, table)[stream]
+    last = max(kinds["upto"], default=-1)
+    for n, path in [*kinds["batch_id"].items(), *kinds["upto"].items()]:
+        if n < last or n == last and path.rsplit("/", 1)[1].startswith("batch_id"):
+            remove(spark, path)
 
 
 def load_history(spark: SparkSession, log: str) -> DataFrame:
