@@ -142,16 +142,18 @@ def measure_daily(cards: DataFrame) -> DataFrame:
     return measure(daily, at, None, "CC_TRANS_ALL", "day")
 
 
+# The least metric of each rating, the rating below all, and the limits of the alert levels.
+RATINGS = (("EXCELLENT", 95), ("GOOD", 90), ("ACCEPTABLE", 80), ("POOR", 70))
+LOWEST_RATING = "CRITICAL"
+ALERT_LEVELS = (("CRITICAL", 70), ("WARNING", 80))
+
+
+def alert_message(limit: int) -> str:
+    return f"Metric below {limit}% threshold"
+
+
 def rating(metric: Column) -> Column:
-    return choose(
-        {
-            "EXCELLENT": metric >= 95,
-            "GOOD": metric >= 90,
-            "ACCEPTABLE": metric >= 80,
-            "POOR": metric >= 70,
-        },
-        F.lit("CRITICAL"),
-    )
+    return choose({name: metric >= least for name, least in RATINGS}, F.lit(LOWEST_RATING))
 
 
 def dashboard(metrics: DataFrame) -> DataFrame:
@@ -166,13 +168,12 @@ def dashboard(metrics: DataFrame) -> DataFrame:
 
 
 def quality_alerts(metrics: DataFrame) -> DataFrame:
-    """Metrics below 70 are critical, 70 to 80 (both included) a warning."""
+    """Metrics below the critical limit, and those up to the warning limit (both limits included) as a warning."""
     value = F.col("metric_value")
-    level = F.when(value < 70, "CRITICAL").when(value.between(70, 80), "WARNING")
-    message = F.when(value < 70, "Metric below 70% threshold").otherwise(
-        "Metric below 80% threshold"
-    )
-    return metrics.filter(value <= 80).select(
+    critical, warning = (limit for _, limit in ALERT_LEVELS)
+    level = F.when(value < critical, "CRITICAL").when(value.between(critical, warning), "WARNING")
+    message = F.when(value < critical, alert_message(critical)).otherwise(alert_message(warning))
+    return metrics.filter(value <= warning).select(
         "metric_name",
         "metric_value",
         level.alias("alert_level"),

@@ -216,10 +216,9 @@ def _(cards):
 
 @on_daily(
     "quality_dashboard",
-    """SELECT metric_category, metric_name, metric_value,
-    CASE WHEN metric_value >= 95 THEN 'EXCELLENT' WHEN metric_value >= 90 THEN 'GOOD'
-      WHEN metric_value >= 80 THEN 'ACCEPTABLE' WHEN metric_value >= 70 THEN 'POOR'
-      ELSE 'CRITICAL' END AS quality_rating, total_records, measurement_timestamp FROM daily_metrics""",
+    f"""SELECT metric_category, metric_name, metric_value,
+    CASE {' '.join(f"WHEN metric_value >= {least} THEN '{name}'" for name, least in quality.RATINGS)}
+      ELSE '{quality.LOWEST_RATING}' END AS quality_rating, total_records, measurement_timestamp FROM daily_metrics""",
 )
 def _(metrics):
     return _plain_metric(quality.dashboard(metrics))
@@ -227,11 +226,13 @@ def _(metrics):
 
 @on_daily(
     "quality_alerts",
-    """SELECT metric_name, metric_value, 'CRITICAL' AS alert_level,
-    'Metric below 70% threshold' AS alert_message, measurement_timestamp
-    FROM daily_metrics WHERE metric_value < 70
-    UNION ALL SELECT metric_name, metric_value, 'WARNING', 'Metric below 80% threshold',
-    measurement_timestamp FROM daily_metrics WHERE metric_value BETWEEN 70 AND 80""",
+    " UNION ALL ".join(
+        f"""SELECT metric_name, metric_value, '{level}' AS alert_level, '{quality.alert_message(limit)}' AS alert_message,
+        measurement_timestamp FROM daily_metrics WHERE metric_value {condition}"""
+        for (level, limit), condition in zip(
+            quality.ALERT_LEVELS, (f"< {quality.ALERT_LEVELS[0][1]}", "BETWEEN {} AND {}".format(*(n for _, n in quality.ALERT_LEVELS)))
+        )
+    ),
 )
 def _(metrics):
     return _plain_metric(quality.quality_alerts(metrics))
@@ -272,7 +273,7 @@ def _(cards):
 def ladder(column: str, steps, last) -> str:
     """The label of the first bound that a column exceeds."""
     text = lambda v: f"'{v}'" if isinstance(v, str) else str(v)
-    return "coalesce(" + ", ".join(f"CASE WHEN {column} > {b} THEN {text(v)} END" for b, v in steps) + f", {text(last)})"
+    return "CASE " + " ".join(f"WHEN {column} > {b} THEN {text(v)}" for b, v in steps) + f" ELSE {text(last)} END"
 
 
 def _loaded(cards: DataFrame) -> DataFrame:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.functions.scalars import anonymous_number
+from ledgerloom.functions.scalars import anonymous_number, moment
 from ledgerloom.operators import alerts, privacy, quality, relational, sketches
-from ledgerloom.plans.card import ALERT_AS_OF, MASKED_SQL, ROLES, _backlog, _until, plain_amount
+from ledgerloom.plans.card import MASKED_SQL, ROLES, plain_amount
 from ledgerloom.plans.oracle import sql
 from ledgerloom.plans.registry import register
 from ledgerloom.plans.streams import card_stream, line_messages
@@ -109,23 +109,28 @@ def _(spark, folder):
     return exact.join(estimated, "month").select("month", "exact", near.alias("within_bound"))
 
 
+HISTORY_AS_OF = "2024-01-15 12:00:00"  # with cards on both sides of it
+
+
 @register(
     "alert_history",
     sql(
         "cards",
         f"""SELECT alert_id, cast(threshold_value AS bigint) AS threshold_value, 2 AS appended, true AS open FROM (
       SELECT 'A001' AS alert_id, 5000 AS threshold_value, (SELECT round(max(amount)) FROM cards
-        WHERE transaction_timestamp > timestamp '{ALERT_AS_OF}' - interval 5 minute
-        AND transaction_timestamp <= timestamp '{ALERT_AS_OF}') > 5000 AS hit
-      UNION ALL SELECT 'A004', 1000, (SELECT count(*) FROM cards WHERE transaction_timestamp > timestamp '{ALERT_AS_OF}') > 1000
+        WHERE transaction_timestamp > timestamp '{HISTORY_AS_OF}' - interval 5 minute
+        AND transaction_timestamp <= timestamp '{HISTORY_AS_OF}') > 5000 AS hit
+      UNION ALL SELECT 'A004', 1000, (SELECT count(*) FROM cards WHERE transaction_timestamp > timestamp '{HISTORY_AS_OF}') > 1000
     ) WHERE hit""",
     ),
 )
 def _(spark, folder):
     """Triggered rules of two runs, appended to the history and read back (the rules on amounts and backlog)."""
     cards, path = bindings.cards(spark, folder), fresh_dir(spark, "alert-history")
-    measured = alerts.measured_alerts(_until(cards), quality.measure_daily(cards), _backlog(cards), ALERT_AS_OF)
-    rows = alerts.history_rows(alerts.evaluate_rules(alerts.alert_config(spark, ALERT_AS_OF), measured), ALERT_AS_OF)
+    past = F.col("transaction_timestamp") <= moment(HISTORY_AS_OF)
+    backlog = cards.filter(~past).agg(F.count("*").alias("pending"))
+    measured = alerts.measured_alerts(cards.filter(past), quality.measure_daily(cards), backlog, HISTORY_AS_OF)
+    rows = alerts.history_rows(alerts.evaluate_rules(alerts.alert_config(spark, HISTORY_AS_OF), measured), HISTORY_AS_OF)
     for _ in range(2):
         rows.write.mode("append").parquet(path)
     stored = spark.read.schema(ALERT_HISTORY).parquet(path).filter("alert_id IN ('A001', 'A004')")
