@@ -70,7 +70,7 @@ def test_metrics_read_the_table_once(spark):
     assert plan.count("FileScan") == 1
 
 
-ROWS_IN_PYTHON = {"sales_forecast", "sales_forecast_by_theme"}
+ROWS_IN_PYTHON = {"sales_forecast", "sales_forecast_by_theme", "sales_forecast_by_model"}
 
 
 @pytest.mark.parametrize(
