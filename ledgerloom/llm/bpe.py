@@ -6,7 +6,8 @@ heap), each to all its positions at once, and only the lists of the neighbouring
 ascend as a merge's parts are always older than its result, so one sweep over the ranks ends the work.
 
 Texts are cut into slices of ``SLICE_CHARS`` characters at most (or one text); known pre-tokens are kept
-between slices in a cache of ``CACHE`` entries, which is emptied when full. Nothing is dropped for length.
+between slices in a cache of about ``CACHE`` entries; when it is full, those of the current slice stay.
+The lowest ranks, which are frequent, are applied to all their positions by array operations.
 
 Defined results: null and empty texts have no ids and decode to the empty text; repeated rows are encoded
 each; an empty table gives no rows. The vocabulary file is read on the executors from ``path``.
@@ -15,9 +16,11 @@ each; an empty table gives no rows. The vocabulary file is read on the executors
 from __future__ import annotations
 
 import gc
+import hashlib
 import heapq
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from itertools import chain
 
@@ -27,10 +30,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.char_classes import as_ranges, newer_characters
 from ledgerloom.llm.common import small_batches, whole_text
 
-SLICE_CHARS = 1_000_000
-CACHE = 250_000
+SLICE_CHARS = 4_000_000
+DENSE = 300  # ranks below are applied by array operations
+CACHE = 400_000
 WALL, GONE = -1, -2  # between pre-tokens; merged into its left neighbour
 SHIFT = 24
 MASK = (1 << SHIFT) - 1
@@ -48,6 +53,30 @@ def byte_symbols() -> list[str]:
     return [symbols[b] for b in range(256)]
 
 
+class Filled(dict):
+    """A dictionary that makes its missing values."""
+
+    def __init__(self, make: Callable):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value
+
+
+@contextmanager
+def uncollected():
+    """Only plain lists are made, no cycles, so the collector need not look at them."""
+    collecting = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if collecting:
+            gc.enable()
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file."""
 
@@ -67,36 +96,93 @@ class Codec:
         self.bytes |= {i: token.encode() for token, i in self.special.items()}
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.split = regex.compile(PATTERN)
+        # Characters that are letters or numbers only in newer Unicode tables than the library's are other signs.
+        newer = newer_characters()
+        self.beyond = regex.compile(f"[{min(newer)}-\U0010ffff]")  # one range: a quick look first
+        newer = as_ranges(newer)
+        self.newer = regex.compile(f"[{newer}]")
+        classes = PATTERN.replace(r"\p{L}+", rf"[\p{{L}}--[{newer}]]+").replace(r"\p{N}+", rf"[\p{{N}}--[{newer}]]+")
+        classes = classes.replace(r"[^\s\p{L}\p{N}]+", rf"(?:[^\s\p{{L}}\p{{N}}]|[{newer}])+")
+        self.split_newer = regex.compile(classes, regex.V1)
         self.known: dict[str, list[int]] = {}
+        self.names = {i: str(i) for i in self.bytes}
+        self.both = Filled(self._written)  # a pre-token's ids as text, and the bytes they decode to
+
+    def _written(self, word: str) -> tuple[str, bytes]:
+        ids = self.known[word]
+        return ",".join(map(self.names.__getitem__, ids)), b"".join(map(self.bytes.__getitem__, ids))
 
     def learn(self, words: list[str]) -> None:
         """Encode distinct pre-tokens together and put them into the cache."""
-        raw = "\n".join(words).encode() if not any("\n" in w for w in words) else None
-        ids: list[int] = []
-        if raw is not None:  # one pass over all bytes, walls in the place of the line ends
-            symbols = self.first_table[np.frombuffer(raw + b"\n", np.uint8)]
-            symbols[np.frombuffer(raw + b"\n", np.uint8) == 10] = WALL
-            ids = symbols.tolist()
-        else:
-            for word in words:
-                ids.extend(map(self.first.__getitem__, word.encode()))
-                ids.append(WALL)
-        merges = self.merges
-        flat = np.array(ids, np.int64)
-        right = list(range(1, len(ids) + 1))
-        left = list(range(-1, len(ids) - 1))
+        raw = np.frombuffer("".join(words).encode(), np.uint8)
+        ends = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in words])
+        flat = np.full(len(raw) + len(words), WALL, np.int64)
+        at = np.arange(len(raw)) + np.repeat(np.arange(len(words)), np.diff(ends, prepend=0))
+        flat[at] = self.first_table[raw]
+        right = np.arange(1, len(flat) + 1)
+        left = np.arange(-1, len(flat) - 1)
         keys = np.where((flat[:-1] >= 0) & (flat[1:] >= 0), flat[:-1] << SHIFT | flat[1:], -1)
+        places: dict[int, list] = {}
+        active: list[tuple[tuple[int, int], int]] = []
+        self._index(keys, np.arange(len(keys)), places, active)
+        heapq.heapify(active)
+        while active and active[0][0][0] < DENSE:
+            (_, made), key = heapq.heappop(active)
+            found = np.unique(np.concatenate(places.pop(key)))
+            self._apply_dense(key, made, found, flat, left, right, places, active)
+        ids, left, right = flat.tolist(), left.tolist(), right.tolist()
+        lists = {key: np.concatenate(parts).tolist() for key, parts in places.items()}
+        self._apply(ids, left, right, lists, active)
+        flat = np.array(ids, np.int64)
+        flat = flat[flat != GONE]
+        start, rest = 0, flat.tolist()
+        for word, end in zip(words, np.flatnonzero(flat == WALL).tolist(), strict=True):
+            self.known[word] = rest[start:end]
+            start = end + 1
+
+    def _index(self, keys: np.ndarray, at: np.ndarray, places: dict, active: list) -> None:
+        """Enter positions into the lists of their pairs, as far as these have a rank; new pairs go to ``active``."""
+        if not len(keys):
+            return
         order = np.argsort(keys, kind="stable")
         distinct, starts = np.unique(keys[order], return_index=True)
         ends = [*starts[1:].tolist(), len(order)]
-        places: dict[int, list[int]] = {
-            key: order[start:end].tolist()
-            for key, start, end in zip(distinct.tolist(), starts.tolist(), ends, strict=True)
-            if key in merges
-        }
-        active = [(merges[key], key) for key in places]
-        heapq.heapify(active)
-        get = places.get
+        for key, start, end in zip(distinct.tolist(), starts.tolist(), ends, strict=True):
+            if key in self.merges:
+                if key in places:
+                    places[key].append(at[order[start:end]])
+                else:
+                    places[key] = [at[order[start:end]]]
+                    active.append((self.merges[key], key))
+
+    def _apply_dense(self, key: int, made: int, found: np.ndarray, ids: np.ndarray, left: np.ndarray, right: np.ndarray, places: dict, active: list) -> None:
+        """One rank at all its positions by array operations: worth it for the low ranks, which are frequent."""
+        a, b = key >> SHIFT, key & MASK
+        found = found[(ids[found] == a) & (ids[right[found]] == b)]
+        if a == b and len(found) > 1:  # in a run of one symbol every other position counts
+            linked = np.r_[False, right[found[:-1]] == found[1:]]
+            heads = np.flatnonzero(~linked)
+            since = np.arange(len(found)) - np.repeat(heads, np.diff(np.r_[heads, len(found)]))
+            found = found[since % 2 == 0]
+        if not len(found):
+            return
+        gone = right[found]
+        after = right[gone]
+        ids[found], ids[gone] = made, GONE
+        right[found], left[after] = after, found
+        follow, before = ids[after], left[found]
+        ahead = np.where(before >= 0, ids[before], WALL)
+        keys = np.concatenate((made << SHIFT | follow, ahead << SHIFT | made))
+        at = np.concatenate((found, before))
+        whole = np.concatenate((follow >= 0, ahead >= 0))
+        fresh: list = []
+        self._index(keys[whole], at[whole], places, fresh)
+        for entry in fresh:
+            heapq.heappush(active, entry)
+
+    def _apply(self, ids: list[int], left: list[int], right: list[int], places: dict[int, list[int]], active: list) -> None:
+        """The other ranks, in ascending order, position by position."""
+        merges, get = self.merges, places.get
         while active:
             (_, made), key = heapq.heappop(active)
             a, b = key >> SHIFT, key & MASK
@@ -124,45 +210,60 @@ class Codec:
                     elif near in merges:
                         places[near] = [before]
                         heapq.heappush(active, (merges[near], near))
-        flat = np.array(ids, np.int64)
-        flat = flat[flat != GONE]
-        start, rest = 0, flat.tolist()
-        for word, end in zip(words, np.flatnonzero(flat == WALL).tolist(), strict=True):
-            self.known[word] = rest[start:end]
-            start = end + 1
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text. Only plain lists are made, no cycles, so the collector need not look at them."""
-        collecting = gc.isenabled()
-        gc.disable()
-        try:
-            return self._encode(texts)
-        finally:
-            if collecting:
-                gc.enable()
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        parts = []  # per text: lists of pre-tokens, with the ids of special tokens between them
+        """Ids of each text."""
+        with uncollected():
+            get = self.known.__getitem__
+            return [
+                list(chain.from_iterable(chain.from_iterable(map(get, p)) if isinstance(p, list) else (p,) for p in piece))
+                for piece in self._split(texts)
+            ]
+
+    def digests(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """Number of ids, SHA-256 of the decimal ids with commas, SHA-256 of the text decoded from them.
+
+        A pre-token's ids are written and decoded once, when it is first met; a text joins what its pre-tokens have.
+        Each decodes to whole characters, so their bytes in a row are the decoded text's.
+        """
+        out, get = [], self.both.__getitem__
+        with uncollected():
+            for piece in self._split(texts):
+                pairs: list[tuple[str, bytes]] = []
+                for part in piece:
+                    pairs += map(get, part) if isinstance(part, list) else [(self.names[part], self.bytes[part])]
+                written, decoded = zip(*pairs, strict=True) if pairs else ((), ())
+                written, decoded = ",".join(written), b"".join(decoded)
+                n = written.count(",") + 1 if written else 0
+                out.append((n, hashlib.sha256(written.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+        return out
+
+    def _split(self, texts: list[str]) -> list[list]:
+        """Per text: lists of pre-tokens, all of them known, with the ids of special tokens between them."""
+        parts = []
         for text in texts:
             if self.cut is None or not (found := list(self.cut.finditer(text))):
-                parts.append([self.split.findall(text)])
+                parts.append([self.pre_tokens(text)])
                 continue
             pieces, at = [], 0
             for m in found:
-                pieces += [self.split.findall(text[at : m.start()]), self.special[m.group()]]
+                pieces += [self.pre_tokens(text[at : m.start()]), self.special[m.group()]]
                 at = m.end()
-            parts.append([*pieces, self.split.findall(text[at:])])
+            parts.append([*pieces, self.pre_tokens(text[at:])])
         words = set().union(*(p for piece in parts for p in piece if isinstance(p, list)))
         if new := [w for w in words if w not in self.known]:
-            if len(self.known) + len(new) > CACHE:
-                self.known.clear()
-                new = list(words)
+            if len(self.known) + len(new) > CACHE:  # what this slice needs stays
+                for held in (self.known, self.both):
+                    kept = {w: held[w] for w in words if w in held}
+                    held.clear()
+                    held.update(kept)
             self.learn(new)
-        get = self.known.__getitem__
-        return [
-            list(chain.from_iterable(chain.from_iterable(map(get, p)) if isinstance(p, list) else (p,) for p in piece))
-            for piece in parts
-        ]
+        return parts
+
+    def pre_tokens(self, text: str) -> list[str]:
+        if not text.isascii() and self.beyond.search(text) and self.newer.search(text):
+            return self.split_newer.findall(text)
+        return self.split.findall(text)
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
@@ -192,6 +293,9 @@ def _ids_column(ids: list[list[int]]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))
 
 
+DIGESTS = ("n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def _run(docs: DataFrame, path: str, wanted: tuple[str, ...]) -> DataFrame:
     small_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -202,8 +306,14 @@ def _run(docs: DataFrame, path: str, wanted: tuple[str, ...]) -> DataFrame:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for start, end in _slices(texts):
-                ids = own.encode(texts[start:end])
                 columns = {"doc_id": batch.column("doc_id").slice(start, end - start)}
+                if "digests" in wanted:
+                    found = zip(*own.digests(texts[start:end]), strict=True)
+                    for name, kind, values in zip(DIGESTS, (pa.int64(), pa.string(), pa.string()), found, strict=True):
+                        columns[name] = pa.array(values, kind)
+                    yield pa.RecordBatch.from_pydict(columns)
+                    continue
+                ids = own.encode(texts[start:end])
                 if "ids" in wanted:
                     columns["ids"] = _ids_column(ids)
                 if "decoded" in wanted:
@@ -211,6 +321,7 @@ def _run(docs: DataFrame, path: str, wanted: tuple[str, ...]) -> DataFrame:
                 yield pa.RecordBatch.from_pydict(columns)
 
     kinds = {"ids": "ids array<int>", "decoded": "decoded string"}
+    kinds["digests"] = "{} long, {} string, {} string".format(*DIGESTS)
     return source.mapInArrow(work, ", ".join([f"doc_id {id_type}", *(kinds[w] for w in wanted)]))
 
 
@@ -237,3 +348,8 @@ def decode(tokens: DataFrame, path: str) -> DataFrame:
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids, decoded: both directions in one pass over the texts."""
     return _run(docs, path, ("ids", "decoded"))
+
+
+def digests(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: both directions, with only their hashes as the result."""
+    return _run(docs, path, ("digests",))

@@ -45,6 +45,17 @@ def class_of(char: str) -> int:
 @lru_cache(maxsize=1)
 def newer_characters() -> str:
     """Characters that ``regex`` takes for letters or numbers and the library does not (not assigned yet there)."""
-    unsure = (chr(c) for c in range(0x80, 0x110000) if c not in _SURROGATES)
-    unsure = ((c, *_two_views(c)) for c in unsure)
-    return "".join(c for c, older, newer in unsure if older != newer and newer != OTHER and _ask(c) == OTHER)
+    everything = "".join(chr(c) for c in range(0x80, 0x110000) if c not in _SURROGATES)
+    newer = regex.findall(r"[\p{L}\p{N}]", everything)
+    return "".join(c for c in newer if _two_views(c)[0] == OTHER and _ask(c) == OTHER)
+
+
+def as_ranges(chars: str) -> str:
+    """Characters as the ranges of a pattern's class."""
+    runs: list[list[int]] = []
+    for code in sorted(map(ord, chars)):
+        if runs and code == runs[-1][1] + 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "".join(f"\\U{low:08x}-\\U{high:08x}" for low, high in runs)

@@ -40,13 +40,7 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.digests(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,3 +53,31 @@ def test_query_on_the_table(spark, sf_dir):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_characters_newer_than_the_library_are_other_signs():
+    from ledgerloom.llm.char_classes import newer_characters
+
+    newer = newer_characters()
+    assert len(newer) > 1000
+    texts = [f"a{c}1 {c}b{c}{c} {c}" for c in newer[::37]] + [newer[:200], f"'{newer[5]}s it's"]
+    codec = bpe.codec(PATH)
+    assert codec.encode(texts) == [ids for ids, _ in library(texts)]
+
+
+def test_digests_are_those_of_ids_and_text(make_docs):
+    import hashlib
+
+    texts = [t or "" for t in ODD]
+    rows = {r.doc_id: tuple(r)[1:] for r in bpe.digests(make_docs(list(enumerate(ODD))), PATH).collect()}
+    for i, (ids, text) in enumerate(library(texts)):
+        want = (hashlib.sha256(t.encode()).hexdigest() for t in (",".join(map(str, ids)), text))
+        assert rows[i] == (len(ids), *want), texts[i]
+
+
+def test_array_and_list_steps_agree(monkeypatch):
+    draw = random.Random(3)
+    texts = ["".join(draw.choice("aaabn ths\n") for _ in range(80)) for _ in range(300)]
+    for dense in (0, 50, 60_000):
+        monkeypatch.setattr(bpe, "DENSE", dense)
+        assert bpe.Codec(PATH).encode(texts) == [ids for ids, _ in library(texts)], dense
