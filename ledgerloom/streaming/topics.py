@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ledgerloom.schemas import CUSTOMERS, ENVELOPE, NESTED_MESSAGE, ORDER_ITEMS, ORDERS, PRODUCTS
-from ledgerloom.sources.readers import list_stage, match_by_name
-from ledgerloom.sources.sinks import replace_table
+from ledgerloom.sources.readers import list_stage, match_by_name, remove
+from ledgerloom.sources.sinks import materialise, replace_table
 from ledgerloom.streaming.changes import CORRUPT, batch_folder, loaded_files, trigger
 
 PARTS = ("products", "customers", "orders")
@@ -94,30 +95,29 @@ def topics_to_tables(
     """Write every topic's messages to its table: topic -> (path, schema).
 
     Unreadable messages and those of other topics go to ``quarantine`` with a reason; without that path they
-    end the batch.
+    end the batch. Each message is parsed once, into a stored batch that all tables are written from.
     """
+    payloads = {topic: f"m{i}" for i, topic in enumerate(table_of)}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist()
-        try:
-            folder = batch_folder(batch.sparkSession, checkpoint, batch_id)
-            refused = kept.filter(~F.col("topic").isin(*table_of) | F.col("topic").isNull()).select(
-                "topic", "data", F.lit("unmapped topic").alias("reason")
-            )
-            for topic, (_, schema) in table_of.items():
-                broken = readable(kept.filter(F.col("topic") == topic), schema).filter(unreadable())
-                refused = refused.unionByName(
-                    broken.select(F.lit(topic).alias("topic"), "data", F.lit("unreadable").alias("reason"))
-                )
-            refuse(refused, quarantine, folder)
-            for topic, (path, schema) in table_of.items():
-                rows = readable(kept.filter(F.col("topic") == topic), schema).filter(~unreadable())
-                replace_table(rows.select("m.*").drop(CORRUPT), f"{path}/{folder}")
-        finally:
-            kept.unpersist()
-
+        folder = batch_folder(batch.sparkSession, checkpoint, batch_id)
+        own = [
+            F.when(F.col("topic") == topic, payload(schema)).alias(payloads[topic])
+            for topic, (_, schema) in table_of.items()
+        ]
+        reason = F.when(~F.col("topic").isin(*table_of) | F.col("topic").isNull(), "unmapped topic")
+        for topic, name in payloads.items():
+            reason = reason.when((F.col("topic") == topic) & unreadable(name), "unreadable")
+        with stored_batch(with_reason(batch.select("*", *own), reason), checkpoint, batch_id) as kept:
+            refuse(kept.filter("reason IS NOT NULL").select("topic", "data", "reason"), quarantine, folder)
+            good = kept.filter("reason IS NULL")
+            for topic, (path, _) in table_of.items():
+                rows = good.filter(F.col("topic") == topic).select(f"{payloads[topic]}.*")
+                replace_table(rows.drop(CORRUPT), f"{path}/{folder}")
+
+    # A batch is scanned with all columns of its stream, so the others are left out before it.
     return (
-        messages.writeStream.foreachBatch(write)
+        messages.select("topic", "data").writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger(every))
         .start()
@@ -132,16 +132,38 @@ def fan_out(messages: DataFrame) -> dict[str, DataFrame]:
     return flatten(parsed(messages))
 
 
-def readable(messages: DataFrame, schema: StructType) -> DataFrame:
-    """data and m, the parsed payload with the broken text where it is not JSON of the schema."""
+def payload(schema: StructType) -> Column:
+    """The parsed data, with the broken text where it is not JSON of the schema."""
     with_text = StructType([*schema.fields]).add(CORRUPT, "string")
-    return messages.select(
-        "data", F.from_json("data", with_text, {"columnNameOfCorruptRecord": CORRUPT}).alias("m")
-    )
+    return F.from_json("data", with_text, {"columnNameOfCorruptRecord": CORRUPT})
 
 
-def unreadable() -> Column:
-    return F.col("m").isNull() | F.col(f"m.{CORRUPT}").isNotNull()
+def readable(messages: DataFrame, schema: StructType) -> DataFrame:
+    """data and m, the parsed payload."""
+    return messages.select("data", payload(schema).alias("m"))
+
+
+def unreadable(parsed: str = "m") -> Column:
+    return F.col(parsed).isNull() | F.col(f"{parsed}.{CORRUPT}").isNotNull()
+
+
+def with_reason(messages: DataFrame, reason: Column) -> DataFrame:
+    """Add why a message is refused (NULL for the others, whose text is no longer needed)."""
+    marked = messages.withColumn("reason", reason)
+    return marked.withColumn("data", F.when(F.col("reason").isNotNull(), F.col("data")))
+
+
+@contextmanager
+def stored_batch(rows: DataFrame, checkpoint: str, batch_id: int) -> Iterator[DataFrame]:
+    """The rows of a batch on disk beside the stream's offsets, until all its tables are written.
+
+    Every table reads only its columns of them. A batch that is repeated replaces what it has left.
+    """
+    path = f"{checkpoint}/parsed/{batch_id}"
+    try:
+        yield materialise(rows, path)
+    finally:
+        remove(rows.sparkSession, path)
 
 
 def refuse(rows: DataFrame, quarantine: str | None, folder: str) -> None:

@@ -321,6 +321,49 @@ def test_unmapped_topics_are_kept(spark, tmp_path):
     assert sorted((r["topic"], r["reason"]) for r in refused) == [("customers", "unreadable"), ("other", "unmapped topic")]
 
 
+def cached_at_writes(spark, monkeypatch):
+    """A list that gets the number of cached tables at each write of a batch."""
+    seen = []
+
+    def noted(df, path, write=topics.replace_table):
+        seen.append(len(spark.sparkContext._jsc.getPersistentRDDs()))
+        write(df, path)
+
+    monkeypatch.setattr(topics, "replace_table", noted)
+    return seen
+
+
+def test_topic_map_parses_once_and_caches_no_batch(spark, tmp_path, monkeypatch):
+    """A batch may be larger than the memory; it is stored parsed, and the store goes with the batch."""
+    seen, before = cached_at_writes(spark, monkeypatch), len(spark.sparkContext._jsc.getPersistentRDDs())
+    for topic in ("customers", "orders"):
+        topics.publish(raw(spark, f'{{"{topic[:-1]}_id": "1"}}', None, "broken", "{}"), str(tmp_path / "in"), topic)
+    topics.publish(raw(spark, "{}", None), str(tmp_path / "in"), "other")
+    messages = spark.readStream.schema(topics.ENVELOPE).option("recursiveFileLookup", True).json(str(tmp_path / "in"))
+    tables = {"customers": (str(tmp_path / "customers"), CUSTOMERS), "orders": (str(tmp_path / "orders"), ORDERS)}
+    topics.topics_to_tables(messages, tables, str(tmp_path / "offsets"), quarantine=str(tmp_path / "refused")).awaitTermination()
+    assert seen == [before] * 3
+    assert not list((tmp_path / "offsets" / "parsed").glob("*"))
+    for topic, table in tables.items():
+        rows = changes.read_table(spark, *table).select(f"{topic[:-1]}_id")
+        assert tuples(rows) == [("1",), (None,)]
+    refused = tuples(spark.read.parquet(str(tmp_path / "refused")).select("topic", "data", "reason"))
+    broken = [(t, d, "unreadable") for t in tables for d in ("broken", None)]
+    assert refused == sorted([*broken, ("other", "{}", "unmapped topic"), ("other", None, "unmapped topic")], key=repr)
+
+
+def test_topic_map_without_quarantine_writes_nothing_of_a_refused_batch(spark, tmp_path):
+    topics.publish(raw(spark, '{"customer_id": "c1"}', "broken"), str(tmp_path / "in"), "customers")
+    table = (str(tmp_path / "customers"), CUSTOMERS)
+    query = topics.topics_to_tables(
+        topics.consume(spark, str(tmp_path / "in"), "customers"), {"customers": table}, str(tmp_path / "offsets")
+    )
+    with pytest.raises(Exception, match="refused messages"):
+        query.awaitTermination()
+    assert not (tmp_path / "customers").exists()
+    assert not list((tmp_path / "offsets" / "parsed").glob("*"))
+
+
 def test_streams_over_a_folder_table(spark, tmp_path):
     from ledgerloom.plans.streams import event_stream
 
