@@ -201,21 +201,24 @@ def fan_out_stream(
     Messages that are not JSON go to the table ``quarantine`` beside them.
     """
 
+    filled = {part: F.size(f"m.{part}") > 0 for part in PARTS}
+    filled["order_items"] = F.exists("m.orders", lambda order: F.size(order["order_items"]) > 0)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Parsed once for all writes.
-        kept = readable(batch, NESTED_MESSAGE).persist()
-        try:
-            folder = batch_folder(batch.sparkSession, checkpoint, batch_id)
-            broken = kept.filter(unreadable()).select("data", F.lit("unreadable").alias("reason"))
-            refuse(broken, f"{target}/quarantine", folder)
-            for name, rows in flatten(kept.filter(~unreadable())).items():
-                if not rows.isEmpty():
+        folder = batch_folder(batch.sparkSession, checkpoint, batch_id)
+        # Parsed once for all writes, with marks of the tables that a message has rows for.
+        marked = with_reason(readable(batch, NESTED_MESSAGE), F.when(unreadable(), "unreadable"))
+        marked = marked.withColumns({f"has_{name}": has for name, has in filled.items()})
+        with stored_batch(marked, checkpoint, batch_id) as kept:
+            refuse(kept.filter("reason IS NOT NULL").select("data", "reason"), f"{target}/quarantine", folder)
+            good = kept.filter("reason IS NULL")
+            found = good.agg(*(F.bool_or(f"has_{name}").alias(name) for name in filled)).first()
+            for name, rows in flatten(good).items():
+                if found[name]:
                     replace_table(rows, f"{target}/{name}/{folder}")
-        finally:
-            kept.unpersist()
 
     return (
-        messages.writeStream.foreachBatch(write)
+        messages.select("data").writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger(every))
         .start()

@@ -364,6 +364,25 @@ def test_topic_map_without_quarantine_writes_nothing_of_a_refused_batch(spark, t
     assert not list((tmp_path / "offsets" / "parsed").glob("*"))
 
 
+def test_fan_out_stream_caches_no_batch_and_leaves_out_empty_tables(spark, tmp_path, monkeypatch):
+    seen, before = cached_at_writes(spark, monkeypatch), len(spark.sparkContext._jsc.getPersistentRDDs())
+    empty = '{"products": [], "customers": null, "orders": [{"order_id": "o2", "order_items": []}, null]}'
+    good = '{"orders": [{"order_id": "o1", "order_items": [{"product_id": "p1", "quantity": 1}]}]}'
+    run = lambda name: topics.fan_out_stream(
+        topics.consume(spark, str(tmp_path / "in"), "orders"), str(tmp_path / name), str(tmp_path / f"{name}-offsets")
+    ).awaitTermination()
+    topics.publish(raw(spark, empty, "broken"), str(tmp_path / "in"), "orders")
+    run("first")
+    assert sorted(p.name for p in (tmp_path / "first").iterdir()) == ["orders", "quarantine"]
+    topics.publish(raw(spark, good), str(tmp_path / "in"), "orders")
+    run("second")
+    assert sorted(p.name for p in (tmp_path / "second").iterdir()) == ["order_items", "orders", "quarantine"]
+    orders = changes.read_table(spark, str(tmp_path / "second" / "orders"), ORDERS).select("order_id")
+    assert tuples(orders) == [("o1",), ("o2",), (None,)]
+    assert seen == [before] * 5
+    assert not list((tmp_path / "second-offsets" / "parsed").glob("*"))
+
+
 def test_streams_over_a_folder_table(spark, tmp_path):
     from ledgerloom.plans.streams import event_stream
 
