@@ -25,16 +25,17 @@ id get a null component; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import small_batches, stored, whole_text
+from ledgerloom.llm.common import small_batches, sole, stored, whole_text
 from ledgerloom.llm.components import components
 from ledgerloom.llm.shingles import WordHashes, shingle_hashes, words_of
 
@@ -42,6 +43,8 @@ JACCARD = Fraction(4, 5)
 REGION = Fraction(1, 10)
 FAMILY, FAMILY_HASHES = 1500, 2_000_000  # sets and their hashes that one task compares
 TILE, TILE_HASHES = 750, 1_000_000  # the same for each side of a tile
+BRANCH = 262_144  # hashes of a branch that are compared at once
+GROUP_HASHES, MOST_TASKS = 250_000, 10_000  # hashes of families that a task is given on average; tasks of one stage
 BROADCAST_IDS = 1_000_000  # 16 MB of ids at most; more are joined by shuffle
 
 
@@ -97,90 +100,110 @@ def _bound(share: str, fraction: Fraction, column: str = "n") -> F.Column:
 
 
 class PrefixTree:
-    """Sets of local ranks, ascending, in a path-compressed tree."""
+    """Sets of local ranks, ascending, in a path-compressed tree.
 
-    def __init__(self, sets: list[np.ndarray]):
-        order = sorted(range(len(sets)), key=lambda i: sets[i].tolist())
-        # A node: its piece of path, children, sets that end in it, and the smallest and largest set below.
-        self.root = self._build(sets, order, 0)
+    Sets are numbered by their place in sorted order, nodes in preorder, so what is below a node is one range of both.
+    """
 
-    def _build(self, sets: list[np.ndarray], root_order: list[int], root_depth: int) -> list:
-        root: list = [np.empty(0, np.int64), [], [], 0, 0, []]
-        work = [(root, root_order, root_depth)]
+    def __init__(self, sets: list[np.ndarray], sizes: list[int]):
+        self.order = sorted(range(len(sets)), key=lambda i: sets[i].tolist())
+        in_order = [sets[i] for i in self.order]
+        lengths = np.array([len(s) for s in in_order])
+        self.sizes = np.array([sizes[i] for i in self.order], np.int64)
+        shared = np.zeros(len(sets), np.int64)  # leading ranks in common with the set before
+        for k in range(1, len(sets)):
+            most = min(lengths[k - 1], lengths[k])
+            differ = in_order[k - 1][:most] != in_order[k][:most]
+            shared[k] = differ.argmax() if differ.any() else most
+        self.end_node = np.zeros(len(sets), np.int64)  # where a set ends
+        # Of each node: first and last set below, own sets, smallest size and greatest length below, its piece of path.
+        nodes: list[tuple[int, int, int, int, int]] = []
+        pieces: list[np.ndarray] = []
+        inner: list[int] = []
+        work = [(0, len(sets), 0, 0)]
         while work:
-            node, order, depth = work.pop()
-            first, last = sets[order[0]], sets[order[-1]]  # in order, so all share what these two share
-            most = min(len(first), len(last))
-            differ = np.flatnonzero(first[depth:most] != last[depth:most])
-            end = depth + int(differ[0]) if len(differ) else most
-            node[0] = first[depth:end]
-            node[2] = [i for i in order if len(sets[i]) == end]
-            node[3] = min(len(sets[i]) for i in order)
-            node[4] = max(len(sets[i]) for i in order)
-            node[5] = order
-            start = len(node[2])
-            while start < len(order):
-                head, stop = sets[order[start]][end], start + 1
-                while stop < len(order) and sets[order[stop]][end] == head:
-                    stop += 1
-                child: list = [None, [], [], 0, 0, None]
-                node[1].append(child)
-                work.append((child, order[start:stop], end))
-                start = stop
-        return root
-
-
-class Merged:
-    """Union-find; the smaller index is the root."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def find(self, i: int) -> int:
-        up = self.up
-        while up[i] != i:
-            up[i] = i = up[up[i]]
-        return i
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        self.up[max(a, b)] = min(a, b)
-        return a != b
-
-
-def linked(sets: list[np.ndarray], sizes: list[int], merged: Merged, walkers: list[int]) -> list[tuple[int, int]]:
+            first, last, depth, level = work.pop()
+            end = int(shared[first + 1 : last].min(initial=lengths[first]))
+            own = first + int(np.searchsorted(lengths[first:last] > end, True)) if lengths[first] == end else first
+            self.end_node[first:own] = len(nodes)
+            nodes.append((first, last, own, int(self.sizes[first:last].min()), int(lengths[first:last].max())))
+            pieces.append(in_order[first][depth:end])
+            inner.append(level)
+            if own < last:
+                cuts = own + 1 + np.flatnonzero(shared[own + 1 : last] == end)
+                bounds = [own, *cuts.tolist(), last]
+                work.extend((x, y, end, level + 1) for x, y in reversed(list(zip(bounds, bounds[1:], strict=False))))
+        self.nodes, self.pieces = nodes, pieces
+        self.after = np.zeros(len(nodes), np.int64)  # the node after the last one below
+        path: list[int] = []
+        for k, level in enumerate([*inner, 0]):
+            while len(path) > level:
+                self.after[path.pop()] = k
+            path.append(k)
+        self.at = np.cumsum([0, *map(len, pieces)])
+        self.flat = np.concatenate(pieces)
+
+    def overlaps(self, node: int, held: np.ndarray) -> np.ndarray:
+        """For the sets below a node, how many ranks from that node on are marked in ``held``."""
+        last, start = int(self.after[node]), self.at[node]
+        found = np.add.reduceat(held[self.flat[start : self.at[last]]], self.at[node:last] - start)
+        # Along a path: what the nodes so far have found, less what ended before.
+        ended = np.bincount(self.after[node:last] - node, found, last - node + 1)[:-1]
+        down = np.cumsum(found - ended).astype(np.int64)
+        first, end = self.nodes[node][:2]
+        return down[self.end_node[first:end] - node]
+
+
+def linked(sets: list[np.ndarray], sizes: list[int], known: np.ndarray, walkers: list[int]) -> list[tuple[int, int]]:
     """Links that join the components of the sets; ``sizes`` counts also hashes no other set holds.
 
-    Every walker is held against all sets; pairs already in one component are skipped.
+    Every walker is held against all sets; pairs already in one component, as the ``known`` sets are, are skipped.
     """
     if len(sets) < 2:
         return []
     num, den = JACCARD.numerator, JACCARD.denominator
-    tree = PrefixTree(sets)
-    held = np.zeros(int(max((s[-1] for s in sets if len(s)), default=0)) + 1, np.int64)
+    tree = PrefixTree(sets, sizes)
+    place = np.argsort(tree.order)
+    component = np.arange(len(sets))  # by place
+    component[place[known]] = place[known].min(initial=len(sets))
+    held = np.zeros(int(max((s[-1] for s in sets if len(s)), default=0)) + 1, np.int32)
     links = []
+
+    def meet(first: int, overlaps: np.ndarray) -> None:
+        """Link the walker with the sets from ``first`` on that are near enough and elsewhere."""
+        until = first + len(overlaps)
+        near = (num + den) * overlaps >= num * (size + tree.sizes[first:until])
+        for other in (first + np.flatnonzero(near & (component[first:until] != component[own_place]))).tolist():
+            old, new = component[other], component[own_place]
+            if old != new:
+                component[component == old] = new
+                links.append((w, tree.order[other]))
+
     for w in walkers:
-        own, size = sets[w], sizes[w]
+        own, size, own_place = sets[w], sizes[w], int(place[w])
         held[own] = 1
-        stack = [(tree.root, 0, 0)]  # node, depth before it, overlap before it
+        stack = [(0, 0, 0)]  # node, depth before it, overlap before it
         while stack:
             node, depth, overlap = stack.pop()
-            mine = merged.find(w)
-            if len(node[5]) <= 64 and all(merged.find(i) == mine for i in node[5]):
+            first, last, own_end, least_size, longest = tree.nodes[node]
+            if (component[first:last] == component[own_place]).all():
                 continue
-            piece = node[0]
-            overlap += int(held[piece].sum())
-            depth += len(piece)
             # At best the rest of the branch, up to what is left of the walker, is shared too.
-            left = len(own) - overlap
-            best = overlap + min(left, node[4] - depth)
-            least_size = min(sizes[i] for i in node[5]) if len(node[5]) <= 64 else node[3]
+            best = overlap + min(len(own) - overlap, longest - depth)
             if (num + den) * best < num * (size + max(least_size, best)):
                 continue
-            for i in node[2]:
-                if (num + den) * overlap >= num * (size + sizes[i]) and merged.join(w, i):
-                    links.append((w, i))
-            stack.extend((child, depth, overlap) for child in reversed(node[1]))
+            below = int(tree.after[node])
+            if node and tree.at[below] - tree.at[node] <= BRANCH:
+                meet(first, overlap + tree.overlaps(node, held))
+                continue
+            piece = tree.pieces[node]
+            overlap, depth = overlap + int(held[piece].sum()), depth + len(piece)
+            if own_end > first:
+                meet(first, np.full(own_end - first, overlap))
+            child = node + 1
+            while child < below:
+                stack.append((child, depth, overlap))
+                child = int(tree.after[child])
         held[own] = 0
     return links
 
@@ -203,14 +226,8 @@ def _family_links(group: pd.DataFrame) -> pd.DataFrame:
     group = group.sort_values("rep", ignore_index=True)
     ids = group["rep"].tolist()
     sets = _ranked([np.asarray(h, np.int64) for h in group["hashes"]])
-    merged = Merged(len(ids))
-    first_known = -1
-    for i, known in enumerate(group["known"].tolist()):
-        if known:
-            first_known = i if first_known < 0 else first_known
-            merged.join(first_known, i)
     walkers = np.flatnonzero((group["side"] == 0).to_numpy()).tolist()
-    links = linked(sets, group["n"].tolist(), merged, walkers)
+    links = linked(sets, group["n"].tolist(), np.flatnonzero(group["known"].to_numpy(bool)), walkers)
     return pd.DataFrame({"u": [ids[a] for a, _ in links], "v": [ids[b] for _, b in links]}, dtype="int64")
 
 
@@ -264,7 +281,11 @@ def _large_links(members: DataFrame) -> DataFrame:
     common = F.size(F.array_intersect("hashes", "leader_hashes"))
     num, den = JACCARD.numerator, JACCARD.denominator
     near = (num + den) * common >= num * (F.col("n") + F.col("leader_n"))
-    judged = members.join(leader, "family").withColumn("known", near | (F.col("rep") == F.col("leader")))
+    least = members.groupBy("family").agg(F.min("n").alias("least_n"))
+    judged = members.join(leader, "family").join(least, "family")
+    judged = judged.withColumn("known", near | (F.col("rep") == F.col("leader")))
+    # A set that shares all it can with the shortest of the family, and yet is too far from it, is alone.
+    judged = judged.where(F.col("known") | ((num + den) * F.size("hashes") >= num * (F.col("n") + F.col("least_n"))))
     judged = stored(judged.select("family", "rep", "n", "hashes", "leader", "known"), "join-judged")
     stars = judged.where("known AND rep <> leader").select(F.col("rep").alias("u"), F.col("leader").alias("v"))
     # Blocks by a hash of the id: about TILE sets each.
@@ -273,20 +294,21 @@ def _large_links(members: DataFrame) -> DataFrame:
         F.ceil(F.sum(amount)).alias("blocks"),
         F.ceil(F.sum(F.when(F.col("known"), 0.0).otherwise(amount))).alias("rest_blocks"),
     ).where("rest_blocks > 0")
+    tasks = int(sole(sizes.agg(F.sum(F.col("blocks") * F.col("rest_blocks"))))[0] or 1)
     judged = judged.join(sizes, "family")
     block = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    own_rest = F.pmod(F.xxhash64("rep"), F.col("rest_blocks"))
     walkers = judged.where(~F.col("known")).select(
         "family", "rep", "n", "hashes", "known", F.lit(0).alias("side"),
-        F.pmod(F.xxhash64("rep"), F.col("rest_blocks")).alias("rest"),
+        own_rest.alias("rest"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
     )
     walked = judged.select(
-        "family", "rep", "n", "hashes", "known", F.lit(1).alias("side"),
+        "family", "rep", "n", "hashes", "known", F.lit(1).alias("side"), own_rest.alias("own_rest"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("rest_blocks") - 1)).alias("rest"), block.alias("block"),
     )
-    tiles = walkers.unionByName(walked)
-    one = Window.partitionBy("family", "rest", "block", "rep").orderBy("side")  # a set on both sides counts once
-    tiles = tiles.withColumn("k", F.row_number().over(one)).where("k = 1").drop("k")
+    walked = walked.where(F.col("known") | (F.col("rest") != F.col("own_rest"))).drop("own_rest")  # else it is a walker there
+    tiles = walkers.unionByName(walked).repartition(min(tasks, MOST_TASKS), "family", "rest", "block")
     links = tiles.groupBy("family", "rest", "block").applyInPandas(_family_links, "u long, v long")
     return stars.unionByName(links)
 
@@ -301,7 +323,10 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     members = stored(candidates.join(_families(candidates), "rep").drop("lead"), "join-members")
     sizes = members.groupBy("family").agg(F.count("*").alias("c"), F.sum(F.size("hashes")).alias("all_hashes"))
     fits = (F.col("c") <= FAMILY) & (F.col("all_hashes") <= FAMILY_HASHES)
-    small = members.join(sizes.where(fits), "family", "left_semi")
+    # Comparing costs more than its bytes tell, so the number of tasks is fixed and not left to be coalesced by size.
+    hashes = sole(sizes.where(fits).agg(F.sum("all_hashes")))[0] or 0
+    tasks = min(max(1, math.ceil(hashes / GROUP_HASHES)), MOST_TASKS)
+    small = members.join(sizes.where(fits), "family", "left_semi").repartition(tasks, "family")
     small = small.select("family", "rep", "n", "hashes", F.lit(False).alias("known"), F.lit(0).alias("side"))
     found = small.groupBy("family").applyInPandas(_family_links, "u long, v long")
     large = stored(members.join(sizes.where(~fits), "family", "left_semi"), "join-large")

@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from ledgerloom.llm import components as cc
@@ -102,3 +103,53 @@ def test_query_on_the_table(spark, sf_dir):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in op1_ngram_join(spark, sf_dir).collect()}
     assert got == brute(docs)
+
+
+def test_tree_gives_the_components_of_all_pairs(monkeypatch):
+    draw = random.Random(8)
+    base = list(range(120))
+    sets = [sorted({draw.randrange(300) if draw.random() < draw.choice([0, 0.03, 0.1]) else x for x in base}) for _ in range(60)]
+    sets += [[1, 2, 3], [1, 2, 3], [1, 2, 3, 4], list(range(130, 160))]
+    sizes = [len(s) + draw.randrange(6) for s in sets]
+
+    def groups(links):
+        up = list(range(len(sets)))
+
+        def find(x):
+            return x if up[x] == x else find(up[x])
+
+        for a, b in links:
+            a, b = find(a), find(b)
+            up[max(a, b)] = min(a, b)
+        return [find(i) for i in range(len(sets))]
+
+    def near(a, b):
+        common = len({*sets[a]} & {*sets[b]})
+        return 9 * common >= 4 * (sizes[a] + sizes[b])
+
+    want = groups([(a, b) for a in range(len(sets)) for b in range(a) if near(a, b)])
+    for branch in (0, 50, 10**6):
+        monkeypatch.setattr(ngram_join, "BRANCH", branch)
+        arrays = [np.array(s) for s in sets]
+        links = ngram_join.linked(arrays, sizes, np.array([], int), [*range(len(sets))])
+        assert groups(links) == want and len(links) == len(sets) - len(set(want))
+        known = np.flatnonzero(np.array(want) == want[0])  # not linked again
+        links = ngram_join.linked(arrays, sizes, known, [*range(len(sets))])
+        assert len(links) == len(sets) - len(set(want)) - len(known) + 1
+
+
+def test_tiles_of_a_large_family_are_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "TILE", 10)
+    draw = random.Random(4)
+    # All hold half of the leader's hashes, so all but one meet all in tiles.
+    rows = [(0, 0, 60, [*range(60)])] + [(0, i, 60, [*range(30), *draw.sample(range(100, 400), 30)]) for i in range(1, 80)]
+
+    def task_of(group):
+        import pandas as pd
+        from pyspark import TaskContext
+
+        return pd.DataFrame({"u": [0], "v": [TaskContext.get().partitionId()]})
+
+    monkeypatch.setattr(ngram_join, "_family_links", task_of)
+    members = spark.createDataFrame(rows, "family long, rep long, n long, hashes array<long>")
+    assert len({r.v for r in ngram_join._large_links(members).where("u = 0").collect()}) > 10
