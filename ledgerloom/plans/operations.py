@@ -154,7 +154,8 @@ def _(spark, folder):
     cards = topics.rows_as_messages(bindings.cards(spark, folder).select("element", "transaction_type"))
     for topic, messages in (("cards", cards), ("other", cards), ("lines", line_messages(spark, folder))):
         topics.publish(messages, f"{base}/topics", topic)
-    envelope = spark.readStream.schema(topics.ENVELOPE).json(f"{base}/topics/*")
+    reader = spark.readStream.schema(topics.ENVELOPE).option("maxFilesPerTrigger", topics.BATCH_FILES)
+    envelope = reader.json(f"{base}/topics/*")
     tables = {
         "cards": (f"{base}/cards", struct(element=LONG, transaction_type=TEXT)),
         "lines": (f"{base}/lines", topics.NESTED_MESSAGE),

@@ -134,6 +134,15 @@ def rename(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"{path} was not renamed to {to}")
 
 
+def move_files(spark: SparkSession, path: str, to: str, least: int = 0) -> int:
+    """Move the data files of a finished write that have ``least`` bytes or more into another folder; returns their number."""
+    system, at = _file_system(spark, path)
+    found = [s.getPath() for s in system.listStatus(at) if s.getLen() >= least and s.getPath().getName().startswith("part-")]
+    for file in found:
+        rename(spark, file.toString(), f"{to}/{file.getName()}")
+    return len(found)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a file or folder with all it holds."""
     system, at = _file_system(spark, path)

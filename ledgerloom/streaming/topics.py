@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
@@ -10,10 +11,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ledgerloom.schemas import CUSTOMERS, ENVELOPE, NESTED_MESSAGE, ORDER_ITEMS, ORDERS, PRODUCTS
-from ledgerloom.sources.readers import list_stage, match_by_name, remove
+from ledgerloom.sources.readers import list_stage, match_by_name, move_files, remove
 from ledgerloom.sources.sinks import materialise, replace_table
 from ledgerloom.streaming.changes import CORRUPT, batch_folder, loaded_files, trigger
 
+FILE_MESSAGES, BATCH_FILES = 50_000, 500  # messages of a topic's file; files of a batch of the registered streams
+EMPTY_GZIP = 20  # bytes of a compressed file without content
 PARTS = ("products", "customers", "orders")
 TABLES = {"products": PRODUCTS, "customers": CUSTOMERS, "orders": ORDERS, "order_items": ORDER_ITEMS}
 
@@ -33,8 +36,22 @@ def rows_as_messages(df: DataFrame) -> DataFrame:
 
 
 def publish(messages: DataFrame, folder: str, topic: str) -> None:
-    """Append messages to a file topic; readers see whole files only."""
-    envelopes(messages, topic).write.mode("append").json(f"{folder}/{topic}")
+    """Append messages to a file topic; readers see whole files only.
+
+    Envelopes repeat themselves, so they are compressed. One task reads a compressed file: it holds FILE_MESSAGES at most.
+    Spark writes a file also for an empty first partition; it stays behind, as a consumer could never log it as read.
+    """
+    aside = f"{folder}/{topic}/_publishing-{uuid.uuid4().hex}"
+    (
+        envelopes(messages, topic).write
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", FILE_MESSAGES)
+        .json(aside)
+    )
+    spark = messages.sparkSession
+    if not move_files(spark, aside, f"{folder}/{topic}", EMPTY_GZIP + 1):  # no message at all: a file of no bytes
+        spark.createDataFrame([], ENVELOPE).write.mode("append").json(f"{folder}/{topic}")
+    remove(spark, aside)
 
 
 def consume(

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from support import at, tuples
+from ledgerloom.plans import QUERIES
 from ledgerloom.schemas import CARD_TRANSACTIONS, CUSTOMERS, LONG, ORDER_ITEMS, ORDERS, PRODUCTS, TEXT, struct
 from ledgerloom.streaming import alerts, changes, runs, topics
 from test_sources import document
@@ -394,3 +395,52 @@ def test_streams_over_a_folder_table(spark, tmp_path):
     )
     query.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == source.count()
+
+
+def test_topics_are_compressed_into_files_for_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(topics, "FILE_MESSAGES", 300)
+    order = '{{"orders": [{{"order_id": "{0}", "sales_channel": "in_person", "order_items": [{{"product_id": "{0}", "quantity": 1}}]}}]}}'
+    texts = [order.format(i) for i in range(1000)]
+    rows = spark.createDataFrame([], "data string").coalesce(1).union(raw(spark, *texts).coalesce(1))  # first part empty
+    topics.publish(rows, str(tmp_path / "topics"), "orders")
+    files = [f for f in (tmp_path / "topics" / "orders").iterdir() if f.name.startswith("part-")]
+    topics.publish(rows.limit(0), str(tmp_path / "topics"), "none")
+    assert [f.stat().st_size for f in (tmp_path / "topics" / "none").iterdir() if f.name.startswith("part-")] == [0]
+    assert len(files) == 4 and 3 * sum(f.stat().st_size for f in files) < sum(map(len, texts))
+    messages = topics.consume(spark, str(tmp_path / "topics"), "orders", files_per_batch=3)
+    topics.fan_out_stream(messages, str(tmp_path / "tables"), str(tmp_path / "offsets")).awaitTermination()
+    items = changes.read_table(spark, str(tmp_path / "tables" / "order_items"), ORDER_ITEMS)
+    assert sorted(int(r["order_id"]) for r in items.collect()) == [*range(1000)]
+
+
+MADE = {
+    "orders": "id AS o_orderkey, id % 9 AS o_custkey, timestamp_ntz'2024-01-01 10:00:00' AS o_orderdate, 'F' AS o_orderstatus, '2-HIGH' AS o_orderpriority",
+    "lineitem": "id % 300 AS l_orderkey, id AS l_partkey, 2 AS l_quantity, cast(id AS double) AS l_extendedprice",
+    "customer": "id AS c_custkey, 'S' AS c_mktsegment, 'N' AS c_name, 1.0D AS c_acctbal, 1 AS c_nationkey",
+    "part": "id AS p_partkey, 'B' AS p_brand, 'T' AS p_type, 'N' AS p_name, 1.0D AS p_retailprice",
+    "events": "id AS event_id, timestamp_ntz'2024-01-01 10:00:00' AS ts, id AS user_id, 'click' AS event_type, 1.5D AS value, '{\"k\": 1}' AS props",
+}
+
+
+@pytest.mark.parametrize("name", ["stream_topic_tables", "stream_fan_out"])
+def test_registered_streams_store_a_few_files_at_once(spark, tmp_path, monkeypatch, name):
+    """Peak disk: a parsed batch is a part of the topic, not all of it."""
+    for table, columns in MADE.items():
+        rows = spark.range(900 if table == "lineitem" else 300).selectExpr(*columns.split(", "))
+        rows.coalesce(1).write.parquet(str(tmp_path / f"{table}.parquet"))
+    monkeypatch.setattr(topics, "FILE_MESSAGES", 100)
+    monkeypatch.setattr(topics, "BATCH_FILES", 2)
+    stored = []
+
+    def noted(df, path, write=topics.materialise):
+        kept = write(df, path)
+        stored.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(topics, "materialise", noted)
+    counts = {r[0]: r[1] for r in QUERIES[name].run(spark, str(tmp_path)).collect()}
+    assert max(stored) <= 200
+    if name == "stream_fan_out":
+        assert sum(stored) == 900 and counts == {"orders": 900, "order_items": 900}
+    else:
+        assert sum(stored) == 1500 and counts == {"cards": 300, "lines": 900, "refused": 300}
