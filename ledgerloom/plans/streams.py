@@ -225,9 +225,8 @@ def _(spark, folder):
     """Publish nested messages to a topic, stream them into flat tables, count the tables."""
     base = fresh_dir(spark, "fan-out")
     topics.publish(line_messages(spark, folder), f"{base}/topics", "orders")
-    topics.fan_out_stream(
-        topics.consume(spark, f"{base}/topics", "orders"), f"{base}/tables", f"{base}/offsets"
-    ).awaitTermination()
+    messages = topics.consume(spark, f"{base}/topics", "orders", files_per_batch=topics.BATCH_FILES)
+    topics.fan_out_stream(messages, f"{base}/tables", f"{base}/offsets").awaitTermination()
     return row_counts(
         {
             "orders": changes.read_table(spark, f"{base}/tables/orders", ORDERS),
