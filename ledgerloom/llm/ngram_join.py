@@ -242,7 +242,8 @@ def _suspects(first: DataFrame, classes: DataFrame) -> DataFrame:
     """rep of the classes whose first hashes are shared often enough with other texts."""
     tokens = first.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", F.explode("hashes").alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
-    hits = tokens.join(shared, "token", "left_semi").groupBy("doc_id", "n").agg(F.count("*").alias("c"))
+    # Distinct hashes, the smaller side, are kept in a hash table of each part; the many are not sorted.
+    hits = tokens.join(shared.hint("shuffle_hash"), "token", "left_semi").groupBy("doc_id", "n").agg(F.count("*").alias("c"))
     # A linked text is at least 4/5 as long, so it too takes REGION of that length into account.
     hits = hits.where(_bound("c", REGION * JACCARD) & (F.col("c") >= 1))
     return stored(hits.select("doc_id").join(classes, F.col("doc_id") == F.col("rep"), "left_semi").select(F.col("doc_id").alias("rep")), "join-suspects")
@@ -255,7 +256,7 @@ def _candidates(docs: DataFrame, suspects: DataFrame) -> DataFrame:
     # A hash travels with its set's row number alone: 16 bytes, twice.
     tokens = sets.select("row", F.explode("hashes").alias("token"))
     held = tokens.groupBy("token").agg(F.count("*").cast("int").alias("c")).where("c > 1")
-    ordered = tokens.join(held, "token").groupBy("row").agg(
+    ordered = tokens.join(held.hint("shuffle_hash"), "token").groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("c", "token"))).alias("pairs")  # one document's own hashes
     )
     ordered = ordered.join(sets.select("row", F.col("doc_id").alias("rep"), "n"), "row").where(_bound("size(pairs)", JACCARD))

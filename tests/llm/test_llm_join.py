@@ -153,3 +153,17 @@ def test_tiles_of_a_large_family_are_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "_family_links", task_of)
     members = spark.createDataFrame(rows, "family long, rep long, n long, hashes array<long>")
     assert len({r.v for r in ngram_join._large_links(members).where("u = 0").collect()}) > 10
+
+
+def test_hashes_are_not_sorted_to_be_looked_up(spark, make_docs, monkeypatch):
+    plans = {}
+
+    def noted(df, label, write=ngram_join.stored):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, label)
+
+    monkeypatch.setattr(ngram_join, "stored", noted)
+    rows = corpus(6, bases=4, copies=4, hot=5)
+    assert found(make_docs(rows)) == brute(rows)
+    for label in ("join-suspects", "join-ordered"):
+        assert "ShuffledHashJoin [token" in plans[label]
