@@ -102,7 +102,9 @@ def customer_clusters(
                     new[j] = [r / count, f / count, m / (count * 100)]
                     moved = max(moved, sum((x - y) * (x - y) for x, y in zip(new[j], centers[s][j], strict=True)))
                 centers[s] = new
-                held[s] = sum((float(r) ** 2 + float(f) ** 2 + (m / 100) ** 2) / c for _, (c, r, f, m) in sorted(clusters.items()))
+                held[s] = 0.0  # added up in the order of the clusters; sum() would carry the rounding errors along
+                for _, (count, r, f, m) in sorted(clusters.items()):
+                    held[s] += (float(r) ** 2 + float(f) ** 2 + (m / 100) ** 2) / count
                 if moved <= TOLERANCE * spread:
                     active.remove(s)
             if not active:
